@@ -1,0 +1,6 @@
+"""Nothing here on purpose: every input of this engine is a finished table.
+
+The column cleaners in :mod:`scrubline.functions` are plain ``Column -> Column``
+expressions, so they also work on a streaming DataFrame, but no streaming operator
+is part of the feature set.
+"""
