@@ -22,6 +22,7 @@ from scrubline.functions.unicode import (
     LETTER_OR_DIGIT,
     NBSP,
     NON_ASCII,
+    UNTIDY,
     collapse_spaces,
     fold_accents,
     strip_spaces,
@@ -56,14 +57,25 @@ class Cleaner:
 
     def run(self, df: DataFrame, source: Column, prefix: str) -> DataFrame:
         """Add ``<prefix>_value`` and ``<prefix>_ops``."""
+        return run_cleaners(df, [(self, source, prefix)])
 
-        def look(name: str) -> Column:
-            return source if name == "raw" else F.col(f"{prefix}_{name}")
 
-        columns = df.columns
-        for layer in self.layers:
-            df = df.withColumns({f"{prefix}_{n}": c for n, c in layer(look).items()})
-        return df.select(*(F.col(f"`{n}`") for n in columns), f"{prefix}_value", f"{prefix}_ops")
+def run_cleaners(df: DataFrame, jobs: list[tuple[Cleaner, Column, str]]) -> DataFrame:
+    """Run (cleaner, source, prefix) jobs side by side, layer by layer."""
+
+    def look(source: Column, prefix: str) -> Lookup:
+        return lambda name: source if name == "raw" else F.col(f"{prefix}_{name}")
+
+    columns = df.columns
+    for depth in range(max(len(cleaner.layers) for cleaner, _, _ in jobs)):
+        made = {}
+        for cleaner, source, prefix in jobs:
+            if depth < len(cleaner.layers):
+                layer = cleaner.layers[depth](look(source, prefix))
+                made.update({f"{prefix}_{name}": column for name, column in layer.items()})
+        df = df.withColumns(made)
+    results = [f"{prefix}_{name}" for _, _, prefix in jobs for name in ("value", "ops")]
+    return df.select(*(F.col(f"`{n}`") for n in columns), *results)
 
 
 def op_list(*ops: tuple[Column, str]) -> Column:
@@ -73,14 +85,21 @@ def op_list(*ops: tuple[Column, str]) -> Column:
 
 
 # --- normalized text, the base of all others --------------------------------
+def _where_untidy(c: Lookup, changed: Column, otherwise: str) -> Column:
+    return F.when(c("untidy"), changed).otherwise(c(otherwise))
+
+
+# One cheap scan finds the few cells that hold anything but single inner spaces and
+# printable ASCII; only those meet the Unicode-aware replacements.
 TEXT_LAYERS: tuple[Layer, ...] = (
-    lambda c: {"folded": F.translate(c("raw"), NBSP, " ")},
-    lambda c: {"stripped": strip_spaces(c("folded"))},
-    lambda c: {"single": collapse_spaces(c("stripped"))},
+    lambda c: {"untidy": c("raw").rlike(UNTIDY)},
+    lambda c: {"folded": _where_untidy(c, F.replace(c("raw"), F.lit(NBSP), F.lit(" ")), "raw")},
+    lambda c: {"stripped": _where_untidy(c, strip_spaces(c("folded")), "folded")},
+    lambda c: {"single": _where_untidy(c, collapse_spaces(c("stripped")), "stripped")},
     lambda c: {
         "text": F.when(~c("single").isin(*V.NULL_TOKENS), c("single")),
-        "trimmed": c("stripped") != c("folded"),
-        "collapsed": c("single") != c("stripped"),
+        "trimmed": c("untidy") & (c("stripped") != c("folded")),
+        "collapsed": c("untidy") & (c("single") != c("stripped")),
     },
 )
 
@@ -132,7 +151,9 @@ INT = Cleaner(
 DECIMAL = Cleaner(
     (
         *TEXT_LAYERS,
-        lambda c: {"plain": F.translate(c("text"), ",$", "")},
+        lambda c: {
+            "plain": F.replace(F.replace(c("text"), F.lit(","), F.lit("")), F.lit("$"), F.lit(""))
+        },
         lambda c: {"number": _parsed(c("plain"))},
         lambda c: {"value": two_decimals(_finite(c("number")))},
         lambda c: {"ops": op_list(*_text_ops(c), (c("value") != c("text"), Op.TO_DECIMAL_2DP))},

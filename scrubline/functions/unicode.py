@@ -20,6 +20,8 @@ NBSP = "\u00a0"
 SPACE_CLASS = (
     r"[\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 )
+# Leading, trailing or doubled spaces, or any character outside printable ASCII.
+UNTIDY = r"^ | \z|  |[^ -~]"
 NON_ASCII = r"[^\x00-\x7f]"
 LETTER_OR_DIGIT = r"[\p{L}\p{N}]"
 

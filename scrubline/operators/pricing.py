@@ -181,3 +181,31 @@ def cap_sensitivity(
         for i, x in enumerate(limits)
     ]
     return by_quarter.select(F.inline(F.array(*lines)))
+
+
+def longest_running(df: DataFrame, key: str, seen: str, k: int) -> DataFrame:
+    """The ``k`` keys with the longest time between first and last appearance."""
+    days = F.date_diff(F.col("last_seen"), F.col("first_seen"))
+    return (
+        df.groupBy(key)
+        .agg(F.min(seen).cast("date").alias("first_seen"), F.max(seen).cast("date").alias("last_seen"))
+        .withColumn("span_days", days)
+        .orderBy(F.desc("span_days"), F.asc(key))
+        .limit(k)
+    )
+
+
+def items_of_menus(
+    items: DataFrame, pages: DataFrame, dishes: DataFrame, menu_id: str | None = None
+) -> DataFrame:
+    """Transcribed dish names on each menu, or on one of them, as recorded (no cleaning)."""
+    if menu_id is not None:
+        pages = pages.where(F.col("menu_id") == menu_id)
+    bridge = pages.select(F.col("id").alias("menu_page_id"), "menu_id")
+    names = dishes.select(F.col("id").alias("dish_id"), "name")
+    return (
+        items.select(F.col("id").alias("menu_item_id"), "menu_page_id", "dish_id", "price")
+        .join(bridge, "menu_page_id")
+        .join(names, "dish_id", "left")
+        .select("menu_id", "menu_page_id", "menu_item_id", "dish_id", "name", "price")
+    )
