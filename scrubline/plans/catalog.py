@@ -361,8 +361,14 @@ def _(m):
 
 
 def _names(m: Menus) -> DataFrame:
-    names = m.raw("dish").select("name", keys.folded_lower(F.col("name")).alias("folded"))
-    return names.select("name", keys.fingerprint(F.col("folded")).alias("key"))
+    """Part names as they get transcribed: reversed with a comma, shouted with a dot, or plain."""
+    names = m.base("part").selectExpr(
+        """case p_partkey % 3
+             when 0 then concat(split_part(p_name, ' ', 2), ', ', split_part(p_name, ' ', 1))
+             when 1 then concat(upper(p_name), '.') else p_name end as name"""
+    )
+    folded = names.select("name", keys.folded_lower(F.col("name")).alias("folded"))
+    return folded.select("name", keys.fingerprint(F.col("folded")).alias("key"))
 
 
 @query("cluster_fingerprint")
