@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from scrubline import vocab as V
 from scrubline.sources import fixtures
 
 SPACE = r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 TOKENS = r"('', ' ', 'nan', 'NaN', 'NAN', 'null', 'NULL', 'None', '\N', '-', '?')"
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-QUOTE_FROM, QUOTE_TO = "‘’“”′´`–—− …", "''\"\"''''---  ".replace("''''---", "'''---")
+QUOTE_FROM, QUOTE_TO = V.NAME_QUOTES_FROM, V.NAME_QUOTES_TO
 
 
 def lit(text: str) -> str:

@@ -18,9 +18,9 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("input", help="folder with <table>.csv exports")
     parser.add_argument("output", help="folder for artifacts")
     parser.add_argument("tables", nargs="*", default=[])
-    parser.add_argument("--format", default="csv", choices=("csv", "parquet"))
+    parser.add_argument("--format", default="parquet", choices=("csv", "parquet"))
     parser.add_argument("--no-snapshots", action="store_true")
-    parser.add_argument("--ordered", action="store_true", help="snapshots in source row order")
+    parser.add_argument("--ordered", action="store_true", help="snapshots and change logs in source row order")
     args = parser.parse_args(argv)
 
     tables = args.tables or list(run.TABLES)

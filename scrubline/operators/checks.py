@@ -244,8 +244,9 @@ def price_conflicts(items: DataFrame) -> DataFrame:
     )
     priced = F.col("price").isNotNull()
     pairs = F.sort_array(F.collect_list(F.when(priced, F.struct("price", "n"))))
-    listed = F.flatten(F.transform("pairs", lambda p: F.array_repeat(p["price"], p["n"].cast("int"))))
-    counted = F.transform("pairs", lambda p: F.concat(p["price"], F.lit(" x"), p["n"]))
+    text = lambda p: p["price"].cast("string")
+    listed = F.flatten(F.transform("pairs", lambda p: F.array_repeat(text(p), p["n"].cast("int"))))
+    counted = F.transform("pairs", lambda p: F.concat(text(p), F.lit(" x"), p["n"].cast("string")))
     return (
         per_price.groupBy("menu_page_id", "dish_id")
         .agg(

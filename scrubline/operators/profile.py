@@ -9,19 +9,6 @@ from scrubline import vocab as V
 from scrubline.functions.cleaners import NUMBER
 from scrubline.functions.unicode import LETTER_OR_DIGIT
 
-METRICS = (
-    "rows",
-    "missing",
-    "blank",
-    "malformed",
-    "zero",
-    "negative",
-    "distinct_values",
-    "symbol_only",
-    "numeric_only",
-)
-
-
 def _unpivot(row: DataFrame, table: str, columns: list[str], metrics: tuple[str, ...]) -> DataFrame:
     lines = [
         F.struct(
@@ -38,30 +25,42 @@ def profile(df: DataFrame, table: str, numeric: tuple[str, ...] = ()) -> DataFra
     """Counts per column of a raw text table: absence, malformed or odd values, range.
 
     ``numeric`` names the columns read as numbers; malformed, zero and negative are zero
-    for the others.
+    for the others.  Cells are counted per (column, value) first, so patterns are matched
+    once per distinct value and a value held by many rows is combined where it is read.
     """
-    measures = []
-    for c in df.columns:
-        text = F.trim(F.col(c))
-        blank = text == ""
-        missing = F.col(c).isNull() | text.isin(*V.NULL_TOKENS)
-        number = F.when(text.rlike(NUMBER), text).try_cast("double") if c in numeric else F.lit(None)
-        is_number = F.lit(c in numeric)
-        per_column: dict[str, Column] = {
-            "rows": F.count(F.lit(1)),
-            "missing": F.count_if(missing),
-            "blank": F.count_if(blank),
-            "malformed": F.count_if(is_number & ~missing & ~text.rlike(NUMBER)),
-            "zero": F.count_if(number == 0),
-            "negative": F.count_if(number < 0),
-            "distinct_values": F.count_distinct(F.col(c)),
-            "symbol_only": F.count_if(~missing & ~text.rlike(LETTER_OR_DIGIT)),
-            "numeric_only": F.count_if(~missing & text.rlike(r"^[0-9]+$")),
-            "low": F.min(F.when(~missing, text)),
-            "high": F.max(F.when(~missing, text)),
-        }
-        measures += [m.alias(f"{c}__{n}") for n, m in per_column.items()]
-    return _unpivot(df.agg(*measures), table, df.columns, (*METRICS, "low", "high"))
+    cells = F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in df.columns))
+    values = df.select(F.inline(cells)).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    judged = values.select(
+        "column",
+        "value",
+        "n",
+        F.trim("value").alias("text"),
+        F.col("column").isin(*numeric).alias("numeric") if numeric else F.lit(False).alias("numeric"),
+    ).select(
+        "*",
+        (F.col("value").isNull() | F.col("text").isin(*V.NULL_TOKENS)).alias("missing"),
+        F.when(F.col("numeric") & F.col("text").rlike(NUMBER), F.col("text"))
+        .try_cast("double")
+        .alias("number"),
+    )
+    present = ~F.col("missing")
+
+    def rows_where(condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col("n")).otherwise(0))
+
+    return judged.groupBy("column").agg(
+        F.sum("n").alias("rows"),
+        rows_where(F.col("missing")).alias("missing"),
+        rows_where(F.col("text") == "").alias("blank"),
+        rows_where(F.col("numeric") & present & F.col("number").isNull()).alias("malformed"),
+        rows_where(F.col("number") == 0).alias("zero"),
+        rows_where(F.col("number") < 0).alias("negative"),
+        F.count("value").alias("distinct_values"),
+        rows_where(present & ~F.col("text").rlike(LETTER_OR_DIGIT)).alias("symbol_only"),
+        rows_where(present & F.col("text").rlike("^[0-9]+$")).alias("numeric_only"),
+        F.min(F.when(present, F.col("text"))).alias("low"),
+        F.max(F.when(present, F.col("text"))).alias("high"),
+    ).select(F.lit(table).alias("table"), "*")
 
 
 def id_health(df: DataFrame, table: str, columns: tuple[str, ...]) -> DataFrame:

@@ -84,6 +84,10 @@ class Menus:
         passes = [validation.rule_counts(t, i) for i, t in enumerate((self.loaded(), self.repaired()))]
         return self.work.table("rule_counts", lambda: passes[0].unionByName(passes[1]))
 
+    def prepare(self) -> None:
+        """Write every phase that queries share."""
+        self.traces(), self.traces(scoped=True), self.repaired(), self.rule_counts()
+
     def priced(self) -> DataFrame:
         tables = self.staged()
         return pricing.fallback_prices(tables["menu_item"], tables["dish"])

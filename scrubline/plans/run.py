@@ -22,14 +22,15 @@ def clean_to_storage(
     table: str,
     source: str,
     output: str,
-    fmt: str = "csv",
+    fmt: str = "parquet",
     snapshots: bool = True,
     ordered: bool = False,
 ) -> Trace:
     """Clean one CSV export and write its artifacts.
 
     The wide trace is written once; every other artifact is read from it, each scanning
-    only its own columns.
+    only its own columns.  Rows stay in the order of their scan; ``ordered`` sorts snapshots
+    and change logs across files too.
     """
     stamped = stamp_rows(read_text_csv(spark, source, table))
     trace = cleaning.clean_table(table, stamped).stored(f"{output}/{table}/trace")
@@ -43,7 +44,10 @@ def clean_to_storage(
     if trace.omit:
         write(trace.snapshot(rows="omitted"), f"{root}/omitted", fmt)
     if trace.change_points:
-        write(trace.changes().orderBy("step", V.SOURCE_ROW, "column"), f"{root}/changes", fmt, "step")
+        changes = trace.changes()
+        order = ("step", V.SOURCE_ROW, "column")
+        changes = changes.orderBy(*order) if ordered else changes.sortWithinPartitions(*order)
+        write(changes, f"{root}/changes", fmt, "step")
     # A summary has one row per rule: one file is enough.
     write(trace.summary().coalesce(1), f"{root}/summary", fmt)
     write(trace.cleaned(), f"{root}/cleaned", fmt)
@@ -54,7 +58,7 @@ def clean_all(
     spark: SparkSession,
     sources: dict[str, str],
     output: str,
-    fmt: str = "csv",
+    fmt: str = "parquet",
     snapshots: bool = True,
     ordered: bool = False,
 ) -> dict[str, Trace]:
@@ -70,7 +74,7 @@ def clean_all(
     return traces
 
 
-def read_cleaned(spark: SparkSession, output: str, table: str, fmt: str = "csv") -> DataFrame:
+def read_cleaned(spark: SparkSession, output: str, table: str, fmt: str = "parquet") -> DataFrame:
     """A load-ready table with its staging types."""
     schema = ", ".join(staging.STAGED[table])
     if fmt == "csv":
@@ -79,7 +83,7 @@ def read_cleaned(spark: SparkSession, output: str, table: str, fmt: str = "csv")
 
 
 def validate_and_build(
-    spark: SparkSession, output: str, fmt: str = "csv", period=pricing.decade_period
+    spark: SparkSession, output: str, fmt: str = "parquet", period=pricing.decade_period
 ) -> dict[str, str]:
     """Load, check, repair, check again, and write reports, final tables and tiers."""
     cleaned = {t: read_cleaned(spark, output, t, fmt) for t in TABLES}

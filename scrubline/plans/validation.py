@@ -13,6 +13,7 @@ from scrubline.operators.checks import (
     fd_violations,
     ind_violations,
     price_conflicts,
+    stored_type,
 )
 from scrubline.plans.staging import Tables, final_item, final_menu
 
@@ -69,15 +70,44 @@ def fd_results(tables: Tables) -> Tables:
     return dict(sorted(found.items()))
 
 
+def integrity_rows(df: DataFrame, table: str, iteration: int) -> DataFrame:
+    """Violations of all integrity rules of a table from one scan of it."""
+    rules = [r for r in INTEGRITY_RULES if r.table == table]
+    found, any_hit = [], F.lit(False)
+    for rule in rules:
+        hit = F.coalesce(rule.predicate(df), F.lit(False))
+        any_hit |= hit
+        shown = [F.col(c).cast("string").alias(c) for c in ("id", *rule.columns)]
+        if rule.typed:
+            shown.append(stored_type(df, rule.columns[0]).alias("stored_type"))
+        details = F.to_json(F.struct(*shown), {"ignoreNullFields": "false"})
+        cell = F.struct(
+            F.lit(rule.rule_id).alias("rule_id"),
+            F.lit(rule.violation).alias("violation"),
+            details.alias("details"),
+        )
+        found.append(F.when(hit, cell))
+    return (
+        df.where(any_hit)
+        .select(F.col("id").cast("string").alias("row_key"), F.explode(F.array(*found)).alias("hit"))
+        .where(F.col("hit").isNotNull())
+        .select(
+            F.lit(iteration).alias("iteration"),
+            F.lit("IC").alias("family"),
+            "hit.rule_id",
+            F.lit(table).alias("source_table"),
+            "row_key",
+            F.lit(None).cast("string").alias("disposition"),
+            "hit.violation",
+            "hit.details",
+        )
+    )
+
+
 def violations(tables: Tables, iteration: int = 0) -> DataFrame:
     """Every violating row of every rule in one schema."""
     none = F.lit(None).cast("string")
-    parts = []
-    for rule in INTEGRITY_RULES:
-        rows = rule.violations(tables[rule.table])
-        parts.append(
-            _uniform(rows, iteration, "IC", rule.rule_id, rule.table, F.col("id"), none, rule.violation)
-        )
+    parts = [integrity_rows(tables[t], t, iteration) for t in ("menu", "menu_page", "menu_item", "dish")]
     for rule, child, key, parent in IND_RULES:
         rows = ind_violations(tables[child], key, tables[parent]).select("id", key)
         text = f"{child}.{key} must exist in {parent}.id"
