@@ -74,6 +74,9 @@ def main() -> None:
         .appName("scrubline-bench")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
+        # Many plans in one JVM: keep their generated classes and compiled code.
+        .config("spark.sql.codegen.cache.maxEntries", "20000")
+        .config("spark.driver.extraJavaOptions", "-XX:ReservedCodeCacheSize=1g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()

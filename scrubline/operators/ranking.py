@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from scrubline.sources.workspace import shared_folder
 
 
+MAX_BROADCAST_OFFSETS = 200_000
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut lineage in the session's checkpoint folder."""
     shared_folder(df.sparkSession)
@@ -29,7 +32,8 @@ def ranked(df: DataFrame, group: str, order: list[Column]) -> DataFrame:
         *columns, F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_seq")
     )
     in_group = Window.partitionBy(group)
-    # Sorted by group, so there are at most (partitions + groups) of these rows.
+    # Sorted by group, so there are at most (partitions + groups) of these rows; they are
+    # counted before being broadcast.
     offsets = (
         placed.groupBy(group, "_part")
         .agg(F.count(F.lit(1)).alias("_n"), F.min("_seq").alias("_first"))
@@ -42,7 +46,8 @@ def ranked(df: DataFrame, group: str, order: list[Column]) -> DataFrame:
         )
     )
     same = (F.col(group).eqNullSafe(F.col("_group"))) & (F.col("_part") == F.col("_at"))
-    return placed.join(offsets, same).select(
+    small = offsets.count() <= MAX_BROADCAST_OFFSETS
+    return placed.join(F.broadcast(offsets) if small else offsets, same).select(
         *columns,
         (F.col("_before") + F.col("_seq") - F.col("_first") + 1).alias("rank_in_group"),
         "group_rows",

@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 from scrubline import vocab as V
 
 
+MAX_BROADCAST_BLOCKS = 100_000
+
+
 class ShapeError(ValueError):
     """A file does not have the columns its table declares."""
 
@@ -52,8 +55,9 @@ def stamp_rows(frame: DataFrame, file_name: str | None = None) -> DataFrame:
 
     Must follow the file scan directly.  Each scan block (file, start offset) counts its
     rows; the counts of earlier blocks of the file give its offset.  There is one count
-    row per block and never one per record, and it is joined back without moving the
-    records.  No global window is involved.
+    row per block and never one per record; up to 100,000 blocks (tens of megabytes) it is
+    broadcast and no record moves, beyond that both sides are shuffled by block.  No global
+    window is involved.
     """
     columns = frame.columns
     placed = frame.select(
@@ -72,8 +76,10 @@ def stamp_rows(frame: DataFrame, file_name: str | None = None) -> DataFrame:
         .withColumn("_before", F.sum("_n").over(in_file) - F.col("_n"))
         .drop("_n")
     )
-    # One row per file block (128 MB of input by default), so the side stays small.
-    return placed.join(F.broadcast(offsets), block).select(
+    # Scan planning alone tells the number of blocks: at most one per file and per split.
+    blocks = len(frame.inputFiles()) + frame.rdd.getNumPartitions()
+    side = F.broadcast(offsets) if blocks <= MAX_BROADCAST_BLOCKS else offsets
+    return placed.join(side, block).select(
         *columns,
         (F.lit(file_name) if file_name else F.col("_name")).alias(V.SOURCE_FILE),
         (F.col("_before") + F.col("_seq") - F.col("_first") + 1).alias(V.SOURCE_ROW),
