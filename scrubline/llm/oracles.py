@@ -22,3 +22,31 @@ reach as (
 select s.doc_id, cast(len(s.s) as bigint) as n_shingles, low.c as component_id, s.doc_id = low.c as kept
 from sets s join low using (doc_id)
 """
+
+_SIGNS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+DECONTAMINATION = rf"""
+with d as (select doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_SIGNS}') as ws from documents),
+b as (
+  select cast(item_id as varchar) as item, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_SIGNS}') as ws
+  from benchmark where item_id is not null
+), win as (
+  select distinct item, least(len(ws), 13) as size,
+    array_to_string(ws[s:s + least(len(ws), 13) - 1], ' ') as run
+  from (select *, unnest(range(1, len(ws) - least(len(ws), 13) + 2)) as s from b where len(ws) > 0)
+), sizes as (select distinct size from win),
+runs as (
+  select doc_id, size, s, array_to_string(ws[s:s + size - 1], ' ') as run
+  from (select doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) as s from d cross join sizes where len(ws) >= size)
+), found as (select doc_id, item, s, size from runs join win using (size, run)),
+hits as (
+  select doc_id, count(distinct p) as n from (select doc_id, unnest(range(s, s + size)) as p from found) group by doc_id
+), items as (
+  select doc_id, count(*) as n, string_agg(item, ',' order by item) as listed
+  from (select distinct doc_id, item from found) group by doc_id
+)
+select d.doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(h.n, 0) as bigint) as n_hit,
+  cast(coalesce(i.n, 0) as bigint) as n_items, sha256(coalesce(i.listed, '')) as items_sha256,
+  coalesce(h.n, 0) > 0 and 20 * coalesce(h.n, 0) >= len(ws) as contaminated
+from d left join hits h on d.doc_id = h.doc_id left join items i on d.doc_id = i.doc_id
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrubline.llm import near_dedup, oracles
+from scrubline.llm import decontamination, near_dedup, oracles
 from scrubline.llm.storage import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,10 +21,18 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    ).drop("_key")
+
+
 QUERIES: dict[str, Query] = {
     "op3_near_dedup": op3_near_dedup,
+    "op6_decontamination": op6_decontamination,
 }
 
 ORACLES: dict[str, str] = {
     "op3_near_dedup": oracles.NEAR_DEDUP,
+    "op6_decontamination": oracles.DECONTAMINATION,
 }
