@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrubline.llm import decontamination, near_dedup, oracles
-from scrubline.llm.storage import ship
+from scrubline.llm import decontamination, near_dedup, oracles, token_counts, token_store
+from scrubline.llm.storage import scratch, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,9 +27,28 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("_key")
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public tokenizer file; an operator takes any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    payload, index = token_store.token_store(docs, tokenizer("word_bpe_49k.json"), 1, scratch(spark))
+    return token_store.read_back(payload, token_store.look_up(index, token_store.keys_of(docs)))
+
+
 QUERIES: dict[str, Query] = {
     "op3_near_dedup": op3_near_dedup,
     "op6_decontamination": op6_decontamination,
+    "op7_token_counts": op7_token_counts,
+    "op10_token_store": op10_token_store,
 }
 
 ORACLES: dict[str, str] = {
