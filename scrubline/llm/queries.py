@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrubline.llm import decontamination, near_dedup, oracles, token_counts, token_store
+from scrubline.llm import decontamination, mixing, near_dedup, oracles, sharding, token_counts, token_store
 from scrubline.llm.storage import scratch, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,11 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -38,6 +43,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards_of(table(spark, sf_dir, "documents"))
+
+
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     payload, index = token_store.token_store(docs, tokenizer("word_bpe_49k.json"), 1, scratch(spark))
@@ -46,8 +55,10 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op3_near_dedup": op3_near_dedup,
+    "op4_mixing": op4_mixing,
     "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
+    "op8_sharding": op8_sharding,
     "op10_token_store": op10_token_store,
 }
 
