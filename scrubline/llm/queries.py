@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrubline.llm import decontamination, mixing, near_dedup, oracles, sharding, token_counts, token_store
+from scrubline.llm import decontamination, mixing, near_dedup, oracles, sharding, token_counts, token_store, toxicity
 from scrubline.llm.storage import scratch, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards_of(table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     payload, index = token_store.token_store(docs, tokenizer("word_bpe_49k.json"), 1, scratch(spark))
@@ -59,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
     "op8_sharding": op8_sharding,
+    "op9_toxicity": op9_toxicity,
     "op10_token_store": op10_token_store,
 }
 
