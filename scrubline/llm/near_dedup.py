@@ -17,8 +17,11 @@ TREES = 8
 BRANCHES = 2
 COORDINATES = 64
 SMALL_NODE = 64
+#: Members that a large node's others are matched with before it branches, and rows in a task.
+PIVOTS = 32
+CHUNK = 4096
 #: Beyond this depth, nodes that are still large are compared exhaustively in blocks.
-DEPTH = 4
+DEPTH = 6
 #: Estimated similarity below which a pair isn't confirmed: five standard errors below 0.75.
 LEAST_ESTIMATE = 0.75 - 5 * (0.75 * 0.25 / COORDINATES) ** 0.5
 FILTER_BITS = 1 << 23
@@ -148,63 +151,117 @@ def confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, similarity: int)
     return stored(both.select("a", "b", "ma", "mb").mapInArrow(linked(similarity), "a binary, b binary").distinct())
 
 
-def _pairs_in_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare the members of each node, skipping those already in one component.
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBatch, np.ndarray]]:
+    """Runs of rows of one (key, chunk) with their signatures; True where a new group begins."""
+    last = None
+    for batch in batches:
+        group = np.stack([batch.column("key").to_numpy(), batch.column("chunk").to_numpy()], axis=1)
+        bounds = [0, *(np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1), len(group)]
+        for low, high in zip(bounds[:-1], bounds[1:]):
+            for at in range(low, high, 1000):
+                piece = batch.slice(at, min(1000, high - at))
+                signature = np.frombuffer(b"".join(piece.column("signature").to_pylist()), np.uint32)
+                yield tuple(group[at]) != last, piece, signature.reshape(-1, COORDINATES)
+                last = tuple(group[at])
+
+
+def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return (a[:, None, :] == b[None, :, :]).mean(axis=2)
+
 
-    Rows come sorted by node, and a node has few rows, so one node is held at a time.
+def _pair_batch(pairs: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    ordered = [sorted(p) for p in pairs]
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in ordered], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+
+def _odd_pairs(similarity: int):
+    """Candidates of a node: its odd members, which come first, with all others.
+
+    Members of the node's largest component needn't be compared with each other.
     """
-    held: list[tuple] = []
-
-    def compare() -> tuple[list, list]:
-        signature = np.frombuffer(b"".join(r[3] for r in held), np.uint32).reshape(-1, COORDINATES)
-        a, b = [], []
-        for i in range(len(held) - 1):
-            near = (signature[i] == signature[i + 1 :]).mean(axis=1) >= LEAST_ESTIMATE
-            for j in np.flatnonzero(near) + i + 1:
-                if held[i][2] != held[j][2]:
-                    x, y = sorted((held[i][1], held[j][1]))
-                    a.append(x)
-                    b.append(y)
-        return a, b
-
-    def out(a: list, b: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
-    for batch in batches:
-        a, b = [], []
-        for r in zip(*(batch.column(k).to_pylist() for k in range(4))):
-            if held and r[0] != held[0][0]:
-                x, y = compare()
-                a += x
-                b += y
-                held = []
-            held.append(r)
-        yield out(a, b)
-    if held:
-        yield out(*compare())
-
-
-def _compare(rows: DataFrame) -> DataFrame:
-    """Candidate pairs of every node of ``rows(key, rid, comp, signature)``."""
-    return (
-        rows.repartition("key")
-        .sortWithinPartitions("key")
-        .select("key", "rid", "comp", "signature")
-        .mapInArrow(_pairs_in_nodes, "a binary, b binary")
-    )
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        held_signature = np.zeros((0, COORDINATES), np.uint32)
+        for new, piece, signature in _pieces(batches):
+            if new:
+                held, held_signature = [], np.zeros((0, COORDINATES), np.uint32)
+            rows = list(zip(*(piece.column(c).to_pylist() for c in ("rid", "comp", "n", "odd", "chunk"))))
+            odd = np.array([r[3] for r in rows])
+            before = len(held)
+            held += [r for r in rows if r[3]]
+            held_signature = np.concatenate([held_signature, signature[odd]])
+            out = []
+            near = _agreement(signature, held_signature) >= LEAST_ESTIMATE if len(held) else np.zeros((len(rows), 0), bool)
+            place = np.cumsum(odd) - 1 + before
+            for i, j in zip(*np.nonzero(near)):
+                x, y = rows[i], held[j]
+                # Two odd members meet in every chunk; they are paired in the first one, once.
+                if x[1] == y[1] or x[3] and (x[4] or j >= place[i]):
+                    continue
+                if 100 * min(x[2], y[2]) >= similarity * max(x[2], y[2]):
+                    out.append((x[0], y[0]))
+            yield _pair_batch(out)
+
+    return compare
+
+
+def _pivot_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every member of a chunk with the most similar of the chunk's first members."""
+    pivots: list[bytes] = []
+    signatures = np.zeros((0, COORDINATES), np.uint32)
+    for new, piece, signature in _pieces(batches):
+        if new:
+            pivots, signatures = [], np.zeros((0, COORDINATES), np.uint32)
+        rid, out = piece.column("rid").to_pylist(), []
+        more = max(0, PIVOTS - len(pivots))
+        first = len(pivots)
+        pivots += rid[:more]
+        signatures = np.concatenate([signatures, signature[:more]])
+        agreement = _agreement(signature, signatures)
+        # A pivot is matched with those before it.
+        for i in range(min(more, len(rid))):
+            agreement[i, first + i :] = -1
+        best = agreement.argmax(axis=1)
+        for i in np.flatnonzero(agreement[np.arange(len(rid)), best] >= LEAST_ESTIMATE):
+            out.append((rid[i], pivots[best[i]]))
+        yield _pair_batch(out)
+
+
+def _grouped(rows: DataFrame, *order: Column) -> DataFrame:
+    return rows.repartition("key", "chunk").sortWithinPartitions("key", "chunk", *order)
+
+
+def _chunks() -> Column:
+    return F.ceil(F.col("size") / CHUNK)
+
+
+def _compare(rows: DataFrame, similarity: int) -> DataFrame:
+    """Candidate pairs of nodes ``(key, size, rid, n, comp, odd, signature)`` with few odd members."""
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), _chunks() - 1))
+    odd = rows.where("odd").withColumn("chunk", every)
+    rest = rows.where("not odd").withColumn("chunk", F.pmod(F.xxhash64("rid"), _chunks()))
+    columns = ["key", "chunk", "rid", "comp", "n", "odd", "signature"]
+    both = odd.select(*columns).union(rest.select(*columns))
+    return _grouped(both, F.col("odd").desc()).mapInArrow(_odd_pairs(similarity), "a binary, b binary")
+
+
+def _pivots(rows: DataFrame) -> DataFrame:
+    """One candidate pair for nearly every member of a large node in which many are similar."""
+    chunked = rows.select("key", F.pmod(F.xxhash64("rid"), _chunks()).alias("chunk"), "rid", "signature")
+    return _grouped(chunked, F.xxhash64(F.lit(11), "rid")).mapInArrow(_pivot_pairs, "a binary, b binary")
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
     """Cut large nodes into blocks and give every two blocks of a node a node of their own."""
-    block = F.pmod(F.xxhash64("rid"), F.greatest(F.lit(1), F.ceil(F.col("size") / (SMALL_NODE // 2))))
-    last = F.ceil(F.col("size") / (SMALL_NODE // 2)).cast("bigint") - 1
+    count = F.ceil(F.col("size") / (SMALL_NODE // 2))
     return (
-        rows.withColumn("_own", block)
-        .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-        .select(
-            F.xxhash64("key", F.least("_own", "_other"), F.greatest("_own", "_other")).alias("key"),
-            "rid", "comp", "signature",
-        )
+        rows.withColumn("_own", F.pmod(F.xxhash64("rid"), count))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)))
+        .withColumn("key", F.xxhash64("key", F.least("_own", "_other"), F.greatest("_own", "_other")))
+        .withColumn("size", F.lit(1).cast("bigint"))
+        .withColumn("odd", F.lit(True))
+        .select(*rows.columns)
     )
 
 
@@ -214,9 +271,10 @@ def near_duplicates(docs: DataFrame, similarity: int = 75) -> DataFrame:
     Sets are the distinct five-word shingles of whole texts (fewer words: one shingle; NULL,
     empty or blank text: no set, linked with nothing).  Texts with equal sets count as one
     until the end, so copies cost one row each.  In every tree a set picks two of its minwise
-    tokens and goes down to their nodes.  Nodes first link their members to one leader; where
-    that leaves a node with several components, a small node is compared exhaustively and a
-    large one branches on, at last in blocks.  Pairs are confirmed on full sets.  At a
+    tokens and goes down to their nodes.  A small node first links its members to one leader,
+    a large one to the most similar of a few pivots.  Where that leaves a node with several
+    components, the members outside its largest one are compared with all others if they are
+    few; else the node branches on, at last in blocks.  Pairs are confirmed on full sets.  At a
     similarity of 0.75 a pair misses all 16 first nodes with probability 2e-10.
 
     doc_id names a row; rows that repeat one are copies if their texts are equal and all stay.
@@ -267,26 +325,42 @@ def _linked_sets(docs: DataFrame, reps: DataFrame, similarity: int) -> DataFrame
         return stored(rows.join(sizes.where("size > 1"), "key"))
 
     roots = reps.select("rid", "signature", F.lit(0).cast("bigint").alias("key"), F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
+    def large_of(level: DataFrame) -> DataFrame:
+        return level.where(F.col("size") > SMALL_NODE).join(known_sets, "rid")
+
+    known_sets = reps.select("rid", "n", "signature")
     level = nodes(branches(roots, 0))
-    stars = level.where("rid <> leader").select(F.col("leader").alias("a"), F.col("rid").alias("b"))
-    links = confirm(stars, reps, docs, similarity)
+    stars = level.where((F.col("size") <= SMALL_NODE) & (F.col("rid") != F.col("leader")))
+    pairs = stars.select(F.col("leader").alias("a"), F.col("rid").alias("b")).union(_pivots(large_of(level)))
+    links = confirm(pairs, reps, docs, similarity)
     found = components(links)
     for depth in range(1, DEPTH + 1):
-        known = level.join(found.withColumnRenamed("id", "rid"), "rid", "left").withColumn(
-            "comp", F.coalesce("component", "rid")
-        ).drop("component")
-        mixed = known.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).where("_x <> _y")
-        open_ = stored(known.join(mixed.select("key"), "key", "left_semi").join(reps.select("rid", "signature"), "rid"))
-        small = open_.where(F.col("size") <= SMALL_NODE).select("key", "rid", "comp", "signature")
-        large = open_.where(F.col("size") > SMALL_NODE)
+        if depth > 1:
+            links, found = grow(links, found, _pivots(large_of(level)), reps, docs, similarity)
+        comps = level.join(found.withColumnRenamed("id", "rid"), "rid", "left")
+        comps = comps.withColumn("comp", F.coalesce("component", "rid")).drop("component")
+        shares = comps.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("_n")).groupBy("key").agg(
+            F.max_by("comp", "_n").alias("_major"), F.max("_n").alias("_most"), F.sum("_n").alias("_all")
+        )
+        mixed = shares.where("_most < _all").select("key", "_major", (F.col("_all") - F.col("_most")).alias("_odd"))
+        open_ = comps.join(mixed, "key").withColumn("odd", F.col("comp") != F.col("_major"))
+        open_ = stored(open_.drop("leader", "_major").join(known_sets, "rid"))
+        small = open_.where(F.col("_odd") <= SMALL_NODE).drop("_odd")
+        large = open_.where(F.col("_odd") > SMALL_NODE).drop("_odd")
         if depth == DEPTH:
-            small = small.unionByName(_blocks(large))
-        pairs = stored(_compare(small).distinct())
-        more = confirm(pairs, reps, docs, similarity) if not pairs.isEmpty() else pairs
-        if not more.isEmpty():
-            links = links.union(more)
-            found = components(links)
+            small = small.union(_blocks(large))
+        links, found = grow(links, found, _compare(small, similarity), reps, docs, similarity)
         if depth == DEPTH or large.isEmpty():
             break
         level = nodes(branches(large, depth))
     return found
+
+
+def grow(links: DataFrame, found: DataFrame, pairs: DataFrame, reps: DataFrame, docs: DataFrame, similarity: int):
+    """Links and components after confirming more pairs."""
+    pairs = stored(pairs.distinct())
+    more = confirm(pairs, reps, docs, similarity) if not pairs.isEmpty() else pairs
+    if more.isEmpty():
+        return links, found
+    links = links.union(more)
+    return links, components(links)
