@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrubline.llm import decontamination, mixing, near_dedup, oracles, sharding, token_counts, token_store, toxicity
+from scrubline.llm import decontamination, mixing, near_dedup, oracles, sharding, simhash, token_counts, token_store, toxicity
 from scrubline.llm.storage import scratch, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.likenesses(table(spark, sf_dir, "documents"))
+
+
 def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_simhash": op2_simhash,
     "op3_near_dedup": op3_near_dedup,
     "op4_mixing": op4_mixing,
     "op6_decontamination": op6_decontamination,
