@@ -139,3 +139,15 @@ def mix(docs: DataFrame, seed: int = 17, share: float = 1.0, weights: tuple[int,
     return joined.select(
         "doc_id", "_key", "source", "size", "source_size", "target", (times * F.col("size")).alias("taken"), times.alias("times")
     )
+
+
+def mixed(docs: DataFrame, **how) -> DataFrame:
+    """The rows and columns of ``docs``, each row as often as :func:`mix` takes it.
+
+    Rows equal in doc_id and text share alike, rounded to whole times.
+    """
+    taken = mix(docs, **how).groupBy("doc_id", "_key").agg(F.round(F.avg("times")).cast("int").alias("_times")).where("_times > 0")
+    taken = taken.select(F.col("doc_id").alias("_d"), F.col("_key").alias("_k"), "_times")
+    rows = docs.withColumn("_key", row_key(F.coalesce("text", F.lit(""))))
+    both = rows.join(taken, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k")))
+    return both.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)

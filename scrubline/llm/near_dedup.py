@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrubline.llm.components import components
-from scrubline.llm.storage import stored, texts
+from scrubline.llm.storage import sifted, stored, texts
 from scrubline.llm.textscan import SPACES, mix, shingles, words
 
 TREES = 8
@@ -24,7 +24,6 @@ CHUNK = 4096
 DEPTH = 6
 #: Estimated similarity below which a pair isn't confirmed: five standard errors below 0.75.
 LEAST_ESTIMATE = 0.75 - 5 * (0.75 * 0.25 / COORDINATES) ** 0.5
-FILTER_BITS = 1 << 23
 _RNG = np.random.default_rng(977)
 _A = _RNG.integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(1, 2**63, COORDINATES, dtype=np.uint64)
@@ -66,42 +65,16 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _bit(doc_id: Column) -> Column:
-    return F.pmod(F.xxhash64(doc_id), F.lit(FILTER_BITS)) + 1
-
-
-def _wanted(docs: DataFrame, low: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id may be in ``low``: a bit filter of a fixed 1 MiB, built on
-    the executors, that lets each wanted row pass and a few others."""
-    rows = (
-        low.select(_bit(F.col("low")).alias("_b"))
-        .groupBy(F.expr("bitmap_bucket_number(_b)").alias("_bucket"))
-        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(_b))").alias("_map"))
-        .collect()
-    )
-    bits = {r[0]: np.unpackbits(np.frombuffer(r[1], np.uint8), bitorder="little") for r in rows}
-    packed = bytearray(FILTER_BITS // 8)
-    for bucket, one in bits.items():
-        part = np.packbits(one, bitorder="little").tobytes()
-        packed[(bucket - 1) * len(part) : bucket * len(part)] = part
-    wanted = bytes(packed)
-
-    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.unpackbits(np.frombuffer(wanted, np.uint8), bitorder="little").astype(bool)
-        for batch in batches:
-            batch = batch.filter(pa.array(table[batch.column(2).to_numpy() - 1]))
-            for row, sets, _, _ in _sets(batch.column(1)):
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([_set_id(s) for s in sets], pa.binary()),
-                        pa.array([s.tobytes() for s in sets], pa.binary()),
-                    ],
-                    ["rid", "members"],
-                )
-
-    return docs.select("doc_id", "text", _bit(F.col("doc_id")).alias("_b")).mapInArrow(
-        passing, "rid binary, members binary"
-    )
+def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for _, sets, _, _ in _sets(batch.column(0)):
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([_set_id(s) for s in sets], pa.binary()),
+                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                ],
+                ["rid", "members"],
+            )
 
 
 def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,10 +115,11 @@ def confirm(pairs: DataFrame, reps: DataFrame, docs: DataFrame, similarity: int)
         .mapInArrow(alike, "a binary, b binary")
     )
     ends = close.select(F.col("a").alias("rid")).union(close.select("b")).distinct()
-    low = ends.join(reps, "rid").select("low")
+    low = ends.join(reps, "rid").select(F.col("low").alias("doc_id"))
     # Rows may pass the filter without being wanted, and copies may pass beside their
     # representative; neither changes which pairs are confirmed.
-    members = stored(_wanted(docs, low).join(ends, "rid", "left_semi"))
+    rows = sifted(docs, low, ["doc_id"]).where("_maybe").select("text")
+    members = stored(rows.mapInArrow(full_sets, "rid binary, members binary").join(ends, "rid", "left_semi"))
     left = close.join(members.select(F.col("rid").alias("a"), F.col("members").alias("ma")), "a")
     both = left.join(members.select(F.col("rid").alias("b"), F.col("members").alias("mb")), "b")
     return stored(both.select("a", "b", "ma", "mb").mapInArrow(linked(similarity), "a binary, b binary").distinct())

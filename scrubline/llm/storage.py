@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import shutil
 import tempfile
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -60,6 +61,34 @@ def row_key(text: str = "text") -> Column:
     return F.xxhash64("doc_id", text)
 
 
+#: Bits of a filter; as a table of 64-bit words it has at most 2**17 rows and so is safe to broadcast.
+FILTER_BITS = 1 << 23
+
+
+def sifted(rows: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with ``_maybe``: false where no row of ``wanted`` has the same keys.
+
+    A filter of a fixed size, built on the executors, so that most rows that can't match need
+    no shuffle.  Where it says true, a join has to decide.
+    """
+    bit = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS))
+    word, place = F.shiftright(bit, 6), bit.bitwiseAND(F.lit(63)).cast("int")
+    words = wanted.select(word.alias("_at"), F.call_function("shiftleft", F.lit(1).cast("long"), place).alias("_set"))
+    words = words.groupBy("_at").agg(F.bit_or("_set").alias("_set"))
+    met = rows.withColumn("_word", word).join(F.broadcast(words), F.col("_word") == F.col("_at"), "left")
+    maybe = F.coalesce(F.call_function("shiftright", F.col("_set"), place).bitwiseAND(F.lit(1)) == 1, F.lit(False))
+    return met.withColumn("_maybe", maybe).drop("_word", "_at", "_set")
+
+
+def without(rows: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys aren't in ``gone``, NULL equal to NULL; only doubtful rows are shuffled."""
+    marked = sifted(rows, gone, keys)
+    gone = gone.select(*(F.col(k).alias(f"_gone_{k}") for k in keys)).distinct()
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_gone_{k}")) for k in keys))
+    doubtful = marked.where("_maybe").join(gone, same, "left_anti")
+    return marked.where("not _maybe").union(doubtful).select(*rows.columns)
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers once per session, as ``--py-files`` would."""
     context = spark.sparkContext

@@ -25,6 +25,7 @@ ALPHABET = 64
 #: Words of a text remembered with their scores.
 REMEMBERED = 200_000
 FEATURES = 5
+THRESHOLD = 0.5
 #: A token is a run of non-space without its outer signs; single letters in a row are one token.
 _OUTER = re.compile(r"^[\W_]+|[\W_]+$")
 _SPELT = re.compile(r"(?<!\S)(?:\w\s){2,}\w(?!\S)")
@@ -302,22 +303,44 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     texts have equal scores; labels without a document, NULL labels and other columns are
     ignored (of several labels the highest counts); an empty table gives no rows.
     """
-    model = train(docs, labels)
+    scores = _scored(train(docs, labels), 1)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, score in scores(batches):
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score)], ["doc_id", "score"])
+
+    return texts(docs).mapInArrow(scored, "doc_id long, score double").select(
+        "doc_id",
+        F.coalesce(held_out(), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows and columns of ``docs`` whose texts aren't predicted to be toxic; nothing is shuffled."""
+    scores = _scored(train(docs, labels), docs.columns.index("text"))
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, score in scores(batches):
+            yield part.filter(pa.array(score < THRESHOLD))
+
+    return docs.mapInArrow(kept, docs.schema)
+
+
+def _scored(model: tuple[np.ndarray, np.ndarray] | None, column: int):
+    """Parts of batches with the scores of the texts in a column."""
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
         scorer = Scorer(model[0]) if model else None
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 score = np.zeros(part.num_rows)
                 if scorer:
-                    x = np.c_[scorer.texts(part.column(1).to_pylist()), np.ones(part.num_rows)]
+                    found = [t or "" for t in part.column(column).to_pylist()]
+                    x = np.c_[scorer.texts(found), np.ones(part.num_rows)]
                     score = 1 / (1 + np.exp(-np.clip(x @ model[1], -30, 30)))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(score)], ["doc_id", "score"])
+                yield part, score
 
-    return texts(docs).mapInArrow(scored, "doc_id long, score double").select(
-        "doc_id",
-        F.coalesce(held_out(), F.lit(False)).alias("held_out"),
-        "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"),
-    )
+    return scores
