@@ -5,22 +5,57 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrubline.llm.near_dedup import near_duplicates
-from scrubline.llm.storage import scratch, ship
+from scrubline.llm import decontamination as benchmark
+from scrubline.llm import mixing as sources
+from scrubline.llm import near_dedup as copies
+from scrubline.llm import sharding as ring
+from scrubline.llm import toxicity as insults
+from scrubline.llm.storage import row_key, scratch, ship, without
 
 #: SQL can't express the classifier, the seeded mix or the ring; tests use brute force.
 ORACLE_SQL = None
 
 
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted to be toxic go."""
+    ship(spark)
+    return insults.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: the one with the smallest doc_id."""
     ship(spark)
-    gone = near_duplicates(docs).where(~F.col("kept")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    gone = copies.near_duplicates(docs).where(~F.col("kept")).select("doc_id")
+    return without(docs, gone, ["doc_id"])
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Contaminated documents go."""
+    ship(spark)
+    found = benchmark.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    gone = found.where("contaminated").select("doc_id", "_key")
+    keyed = docs.withColumn("_key", row_key(F.coalesce("text", F.lit(""))))
+    return without(keyed, gone, ["doc_id", "_key"]).select(*docs.columns)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it, so some not at all and some repeatedly."""
+    ship(spark)
+    return sources.mixed(docs)
+
+
+def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Shard and slot of every row."""
+    ship(spark)
+    return ring.shards_of(docs)
 
 
 STAGES = [
+    ("toxicity", toxicity),
     ("near_dedup", near_dedup),
+    ("decontamination", decontamination),
+    ("mixing", mixing),
+    ("sharding", sharding),
 ]
 
 
