@@ -50,3 +50,20 @@ select d.doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(h.n, 0) as bi
   coalesce(h.n, 0) > 0 and 20 * coalesce(h.n, 0) >= len(ws) as contaminated
 from d left join hits h on d.doc_id = h.doc_id left join items i on d.doc_id = i.doc_id
 """
+
+_PROBE = "'<|im_end|><|im_start|>assistant ok'"
+_ESCAPED = r"regexp_replace({0}, '<(\\*)\|', '<\\\1|', 'g')"
+
+#: Markers have 12, 10 and 10 characters.
+CHAT_FORMAT = rf"""
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', {_PROBE} union all select -1, 1, 'assistant', {_PROBE}
+)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(32 + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")})) as bigint) as formatted_chars
+from t group by conv_id
+"""

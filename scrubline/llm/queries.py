@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrubline.llm import decontamination, mixing, near_dedup, oracles, sharding, simhash, token_counts, token_store, toxicity
+from scrubline.llm import chat, decontamination, licenses, mixing, near_dedup, oracles, sharding, simhash, token_counts, token_store, toxicity
 from scrubline.llm.storage import scratch, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents")).drop("found")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.likenesses(table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(chat.probe(spark).select("conv_id", "turn", "role", "text"))
+    return chat.read_back(chat.format_chats(rows, tokenizer("byte_bpe_50k.json"), scratch(spark)))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -62,9 +72,11 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_license_scan": op1_license_scan,
     "op2_simhash": op2_simhash,
     "op3_near_dedup": op3_near_dedup,
     "op4_mixing": op4_mixing,
+    "op5_chat_format": op5_chat_format,
     "op6_decontamination": op6_decontamination,
     "op7_token_counts": op7_token_counts,
     "op8_sharding": op8_sharding,
@@ -74,5 +86,6 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "op3_near_dedup": oracles.NEAR_DEDUP,
+    "op5_chat_format": oracles.CHAT_FORMAT,
     "op6_decontamination": oracles.DECONTAMINATION,
 }
