@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -308,11 +309,10 @@ def _linked_sets(docs: DataFrame, reps: DataFrame, similarity: int) -> DataFrame
     pairs = stars.select(F.col("leader").alias("a"), F.col("rid").alias("b")).union(_pivots(large_of(level)))
     links = confirm(pairs, reps, docs, similarity)
     found = components(links)
+    kin = stored(found.withColumnRenamed("id", "rid"))
+    candidates = []
     for depth in range(1, DEPTH + 1):
-        if depth > 1:
-            links, found = grow(links, found, _pivots(large_of(level)), reps, docs, similarity)
-        comps = level.join(found.withColumnRenamed("id", "rid"), "rid", "left")
-        comps = comps.withColumn("comp", F.coalesce("component", "rid")).drop("component")
+        comps = level.join(kin, "rid", "left").withColumn("comp", F.coalesce("component", "rid")).drop("component")
         shares = comps.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("_n")).groupBy("key").agg(
             F.max_by("comp", "_n").alias("_major"), F.max("_n").alias("_most"), F.sum("_n").alias("_all")
         )
@@ -323,18 +323,9 @@ def _linked_sets(docs: DataFrame, reps: DataFrame, similarity: int) -> DataFrame
         large = open_.where(F.col("_odd") > SMALL_NODE).drop("_odd")
         if depth == DEPTH:
             small = small.union(_blocks(large))
-        links, found = grow(links, found, _compare(small, similarity), reps, docs, similarity)
+        candidates.append(stored(_compare(small, similarity).distinct()))
         if depth == DEPTH or large.isEmpty():
             break
         level = nodes(branches(large, depth))
-    return found
-
-
-def grow(links: DataFrame, found: DataFrame, pairs: DataFrame, reps: DataFrame, docs: DataFrame, similarity: int):
-    """Links and components after confirming more pairs."""
-    pairs = stored(pairs.distinct())
-    more = confirm(pairs, reps, docs, similarity) if not pairs.isEmpty() else pairs
-    if more.isEmpty():
-        return links, found
-    links = links.union(more)
-    return links, components(links)
+    more = confirm(reduce(DataFrame.union, candidates), reps, docs, similarity)
+    return components(links.union(more))

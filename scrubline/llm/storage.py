@@ -90,7 +90,12 @@ def without(rows: DataFrame, gone: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers once per session, as ``--py-files`` would."""
+    """Send this package to the Python workers once per session, as ``--py-files`` would.
+
+    Arrow batches are cut by size, as texts and sets differ in length by orders of magnitude.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     context = spark.sparkContext
     if getattr(context, "_scrubline_shipped", False):
         return
