@@ -42,22 +42,24 @@ def targets(sizes: list[int], share: float = 1.0, weights: tuple[int, ...] = WEI
 def fit(budget: int, counts: dict[int, int]) -> dict[int, int]:
     """How many documents of each length to take so that their words come nearest ``budget``.
 
-    First every length gives its proportional share, rounded down, and long lengths fill up
-    greedily to within ``EXACT_WORDS``.  Then a bounded knapsack over the documents left
-    finds the reachable sum nearest to what is left, preferring not to exceed it.
+    All but the last ``EXACT_WORDS`` of the budget are filled by every length's proportional
+    share, rounded down, and then by long lengths.  A bounded knapsack over the documents left
+    finds the reachable sum nearest to the rest, preferring not to exceed it; a budget of at
+    most ``EXACT_WORDS`` is so fitted as well as it can be.
     """
     total = sum(n * c for n, c in counts.items())
     if budget <= 0 or not total:
         return {}
     if budget >= total:
         return dict(counts)
-    taken = {n: c * budget // total for n, c in counts.items()}
+    rough = max(0, budget - EXACT_WORDS)
+    taken = {n: c * rough // total for n, c in counts.items()}
     left = budget - sum(n * c for n, c in taken.items())
     order = sorted(counts, reverse=True)
     for n in order:
         if left <= EXACT_WORDS:
             break
-        more = min(counts[n] - taken[n], (left - EXACT_WORDS) // n + 1, left // n)
+        more = min(counts[n] - taken[n], -(-(left - EXACT_WORDS) // n), left // n)
         taken[n] += more
         left -= more * n
     if left > EXACT_WORDS:

@@ -49,7 +49,7 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     misses = small.groupBy("digest").agg(F.min("_key").alias("_key")).join(known(), "digest", "left_anti")
     wanted = rows.withColumn("_key", row_key("digest")).join(misses.hint("shuffle_hash"), ["digest", "_key"], "left_semi")
     encoded = wanted.select("digest", "text").mapInArrow(_counted(tokenizer), "digest binary, n_tokens long")
-    encoded.select("digest", F.lit(version(tokenizer)).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
+    encoded.dropDuplicates(["digest"]).select("digest", F.lit(version(tokenizer)).alias("tokenizer"), "n_tokens").write.mode("append").parquet(cache)
     return small.join(known(), "digest", "left").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")
     )

@@ -24,17 +24,22 @@ LENGTH, SPREAD, DECAY = 3, 8, 0.6
 ALPHABET = 64
 #: Words of a text remembered with their scores.
 REMEMBERED = 200_000
-FEATURES = 5
+FEATURES = 4
 THRESHOLD = 0.5
-#: A token is a run of non-space without its outer signs; single letters in a row are one token.
+LOWEST, HIGHEST = -2.0, 4.0
+SHORT = 30
+#: Signs and letters put into toxic words of the training list, one at a time.
+INSERTED = "-*.x1"
+#: A token is a run of non-space without its outer signs; letters set apart are one token too.
 _OUTER = re.compile(r"^[\W_]+|[\W_]+$")
-_SPELT = re.compile(r"(?<!\S)(?:\w\s){2,}\w(?!\S)")
+_SPELT = re.compile(r"(?<!\w)(?:\w[\W_]){2,}\w(?!\w)")
+_BREAKS = re.compile(r"[\W_]+")
 
 
 def raw_tokens(text: str) -> set[str]:
-    """Distinct lower-case runs of non-space; letters spelt out one by one count as one word too."""
+    """Distinct lower-case runs of non-space; letters set apart one by one are one word too."""
     text = text.lower()
-    return {*text.split(), *("".join(spelt.split()) for spelt in _SPELT.findall(text))}
+    return {*text.split(), *(_BREAKS.sub("", spelt) for spelt in _SPELT.findall(text))}
 
 
 def bare(token: str) -> str:
@@ -124,6 +129,16 @@ def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     return out
 
 
+def dressed(toxic: list[str], weight: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """The words and, at a third of their weight, forms with something put between two letters."""
+    more = {}
+    for word, w in zip(toxic, weight):
+        for k, sign in enumerate(INSERTED):
+            at = 1 + (k * len(word) // len(INSERTED) + k) % max(1, len(word) - 1)
+            more.setdefault(f"{word[:at]}{sign}{word[at:]}", w / 3)
+    return toxic + list(more), np.r_[weight, list(more.values())]
+
+
 def train_words(toxic: list[str], clean: list[str], toxic_weight: np.ndarray) -> np.ndarray:
     """Weight of every subsequence of three letters, bias last.
 
@@ -131,9 +146,11 @@ def train_words(toxic: list[str], clean: list[str], toxic_weight: np.ndarray) ->
     landmarks have explicit feature maps, the trained function is one weight per subsequence,
     so that scoring a word costs no more than listing its subsequences.
     """
+    first = toxic
+    toxic, toxic_weight = dressed(toxic, toxic_weight)
     words = toxic + clean
     label = np.r_[np.ones(len(toxic)), -np.ones(len(clean))]
-    landmarks = toxic[: LANDMARKS // 2] + clean[: LANDMARKS // 2]
+    landmarks = first[: LANDMARKS // 2] + clean[: LANDMARKS // 2]
     values, vectors = np.linalg.eigh(kernel(landmarks, landmarks))
     kept = values > 1e-6 * values.max()
     root = vectors[:, kept] / np.sqrt(values[kept])
@@ -168,7 +185,11 @@ def score_words(words: list[str], weight: np.ndarray) -> np.ndarray:
 
 
 class Scorer:
-    """Features of texts: the highest two word scores, number and share of words above 0, length."""
+    """Features of texts: the two highest word scores, the number of words above 0, the length.
+
+    Long texts reach high scores by chance more often; below ``SHORT`` words that is no
+    matter, and length stops counting.  Scores that a text lacks count as the lowest.
+    """
 
     def __init__(self, weight: np.ndarray) -> None:
         self.weight = weight
@@ -182,14 +203,12 @@ class Scorer:
         words = [bare(w) for w in new]
         scores = np.where([w == "" for w in words], -np.inf, score_words(words, self.weight)) if new else []
         self.known.update(zip(new, map(float, scores)))
-        out = np.full((len(batch), FEATURES), -1.0)
-        out[:, 2:] = 0
+        out = np.full((len(batch), FEATURES), LOWEST)
         for row, found in enumerate(split):
             scores = sorted(map(self.known.__getitem__, found), reverse=True)
-            high = sum(s > 0 for s in scores)
-            if scores:
-                out[row] = scores[0], scores[1] if len(scores) > 1 else -1.0, np.log1p(high), high / len(found), np.log1p(len(found)) / 4
-        return np.clip(out, -2, 4)
+            out[row, : min(2, len(scores))] = scores[:2]
+            out[row, 2:] = np.log1p(sum(s > 0 for s in scores)), np.log(max(SHORT, len(scores))) / 4
+        return np.clip(out, LOWEST, HIGHEST)
 
 
 def calibrate(x: np.ndarray, label: np.ndarray) -> np.ndarray:

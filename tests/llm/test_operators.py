@@ -1,0 +1,522 @@
+"""Every operator against a brute-force version, over given and awkward tables."""
+
+from __future__ import annotations
+
+import hashlib
+import zlib
+from collections import Counter
+from itertools import combinations
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import __spark_entry__ as driver
+from conftest import SF_DIR, awkward_rows, words_of
+from scrubline.llm import chat, decontamination, licenses, mixing, near_dedup, sharding, simhash, token_counts, token_store, toxicity
+from scrubline.llm.components import components
+from scrubline.llm.storage import placed, scratch, without
+
+BYTES, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+
+
+def by_id(frame):
+    return {r["doc_id"]: r for r in frame.collect()}
+
+
+# helpers
+
+
+def test_placed_numbers_all_rows(spark):
+    got = placed(spark.range(1000).select((F.col("id") % 7).alias("k"), "id"), F.col("k"), F.col("id")).collect()
+    assert [r["pos"] for r in sorted(got, key=lambda r: (r["k"], r["id"]))] == list(range(1000))
+
+
+def test_components_of_chain_and_star(spark):
+    edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 130)] + [(7, 7), (3, 4)]
+    got = {(r["id"], r["component"]) for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {(k, 0) for k in range(41)} | {(k, 100) for k in range(100, 130)}
+
+
+def test_without_drops_exactly(spark):
+    rows = spark.createDataFrame([(k if k % 10 else None, str(k)) for k in range(100)], "a long, b string")
+    gone = spark.createDataFrame([(None,), (5,), (5,), (999,)], "a long")
+    left = [r["a"] for r in without(rows, gone, ["a"]).collect()]
+    assert sorted(left) == [k for k in range(100) if k % 10 and k != 5]
+
+
+# 1: license scans
+
+
+def test_patience_alignment():
+    notice = "a b c d e f g".split()
+    assert licenses.align("x a b q c d e f g y".split(), notice) == [(1, 0), (2, 1), (4, 2), (5, 3), (6, 4), (7, 5), (8, 6)]
+    assert licenses.align([], notice) == [] == licenses.align(notice, [])
+    assert len(licenses.align("d e f a b c g".split(), notice)) == 4
+    assert licenses._increasing([3, 1, 2, 5, 4]) in ([1, 2, 4], [1, 2, 3])
+
+
+def test_license_scan_finds_changed_and_repeated_notices(spark):
+    mit = licenses.NOTICES["MIT-text"]
+    changed = mit.replace("free of charge", "at no charge").upper()
+    rows = [(1, f"start {mit} end"), (2, f"{changed}\n\n{changed}"), (3, "Licensed under CC BY-NC 4.0. " * 3), (4, "nothing"), (5, None)]
+    rows += [(6, mit[: len(mit) // 2]), (None, licenses.NOTICES["GPL-3.0"])]
+    got = by_id(licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert (got[1].licenses, got[1].coverage, got[1].n_found) == ("MIT-text", 1.0, 1)
+    assert got[1].found[0]["first"] == 1 and got[1].found[0]["last"] == got[1].n_words - 2
+    assert got[2].n_found == 2 and 0.9 < got[2].coverage < 1
+    assert (got[3].licenses, got[3].n_found) == ("CC-BY-NC-4.0", 3)
+    assert [got[k].n_found for k in (4, 5, 6)] == [0, 0, 0]
+    assert got[None].licenses == "GPL-3.0"
+
+
+def test_license_scan_matches_plain_search(spark, documents):
+    got = by_id(driver.queries()["op1_license_scan"](spark, SF_DIR))
+    short = {n: words_of(t, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+") for n, t in licenses.NOTICES.items()}
+    for row in documents:
+        words = words_of(row.text, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+        exact = {n for n, t in short.items() if any(words[k : k + len(t)] == t for k in range(len(words) - len(t) + 1))}
+        assert exact <= set(got[row.doc_id].licenses.split(",")) and (exact or not got[row.doc_id].n_found)
+
+
+# 2: fingerprints
+
+
+def likeness(a, b):
+    return 1 - (int(a, 16) ^ int(b, 16)).bit_count() / 128
+
+
+def check_prints(rows, got):
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0), reverse=True)
+    assert len(got) == len(rows)
+    for k, (doc_id, text) in enumerate(order):
+        text, following = text or "", order[(k + 1) % len(order)]
+        half = len(text) // 2
+        changed = text[: len(text) - half] + (following[1] or "")[:half]
+        row = got[doc_id]
+        assert row.n_chars == len(text)
+        assert row.edited_sha256 == hashlib.sha256(changed.encode()).hexdigest()
+        assert row.near_edited == pytest.approx(likeness(row.fingerprint, row.edited_fingerprint))
+        assert row.near_next == pytest.approx(likeness(row.fingerprint, got[following[0]].fingerprint))
+        if doc_id is not None and doc_id % 100 == 0:
+            near = sum(likeness(row.fingerprint, g.fingerprint) >= 1 - 3 / 128 for g in got.values())
+            assert row.n_near == near - 1
+        else:
+            assert row.n_near is None
+
+
+def test_simhash_query(spark, documents):
+    got = by_id(driver.queries()["op2_simhash"](spark, SF_DIR))
+    check_prints([(r.doc_id, r.text) for r in documents], got)
+    by_text = {}
+    for r in documents:
+        assert by_text.setdefault(r.text, got[r.doc_id].fingerprint) == got[r.doc_id].fingerprint
+    assert np.mean([g.near_edited > g.near_next for g in got.values()]) > 0.95
+
+
+def test_simhash_awkward(spark, awkward, nothing, monkeypatch):
+    monkeypatch.setattr(simhash, "ROWS_PER_RANGE", 7)
+    once = {r[0]: r[:2] for r in awkward_rows()}
+    docs = awkward.dropDuplicates(["doc_id"])
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(rows) == len(once)
+    check_prints(rows, by_id(simhash.likenesses(docs)))
+    assert simhash.likenesses(awkward).count() == len(awkward_rows())
+    assert simhash.likenesses(nothing).count() == 0
+
+
+def test_radius_search_is_whole(spark):
+    rng = np.random.default_rng(2)
+    base = rng.integers(-(2**63), 2**63 - 1, (20, 2))
+    prints = {tuple(map(int, b)) for b in base}
+    for low, high in base:
+        for flips in (1, 2, 3, 4):
+            value = int(low) % 2**64 | (int(high) % 2**64) << 64
+            for bit in rng.choice(128, flips, replace=False):
+                value ^= 1 << int(bit)
+            signed = [v - 2**64 if v >= 2**63 else v for v in (value % 2**64, value >> 64)]
+            prints.add(tuple(signed))
+    frame = spark.createDataFrame(sorted(prints), "low long, high long")
+    for radius in (0, 2, 3):
+        got = {tuple(r) for r in simhash.within(frame, frame, radius).collect()}
+        apart = lambda p, q: sum((x % 2**64 ^ y % 2**64).bit_count() for x, y in zip(p, q))
+        assert got == {(*p, *q) for p in prints for q in prints if apart(p, q) <= radius}
+    assert simhash.within(frame, frame, 3).count() == len({tuple(r) for r in simhash.within(frame, frame, 3).collect()})
+    with pytest.raises(ValueError):
+        simhash.within(frame, frame, 4)
+
+
+# 3: near-duplicates
+
+
+def brute_components(rows, similarity=75):
+    sets = []
+    for _, text in rows:
+        w = words_of(text)
+        sets.append({tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in combinations(range(len(rows)), 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= similarity * (len(sets[a]) + len(sets[b]) - both):
+            parent[root(a)] = root(b)
+    low = {}
+    for k, (doc_id, _) in enumerate(rows):
+        if doc_id is not None:
+            low[root(k)] = min(doc_id, low.get(root(k), doc_id))
+    out = []
+    for k, (doc_id, _) in enumerate(rows):
+        component = low.get(root(k)) if sets[k] else doc_id
+        out.append((doc_id, len(sets[k]), component, doc_id == component))
+    return Counter(out)
+
+
+def group_of(rng, say, n, edits, length=120):
+    base = [say(rng) for _ in range(length)]
+    out = []
+    for _ in range(n):
+        words = list(base)
+        for place in rng.choice(length, edits, replace=False):
+            words[place] = say(rng)
+        out.append(" ".join(words))
+    return out
+
+
+def test_near_dedup_awkward(spark, awkward, nothing):
+    got = Counter(tuple(r) for r in near_dedup.near_duplicates(awkward).collect())
+    assert got == brute_components([r[:2] for r in awkward_rows()])
+    assert near_dedup.near_duplicates(nothing).count() == 0
+
+
+def test_near_dedup_large_nodes(spark, monkeypatch):
+    """Groups of near copies and a passage shared by many, with nodes that count as large."""
+    monkeypatch.setattr(near_dedup, "SMALL_NODE", 6)
+    monkeypatch.setattr(near_dedup, "PIVOTS", 2)
+    monkeypatch.setattr(near_dedup, "CHUNK", 16)
+    monkeypatch.setattr(near_dedup, "DEPTH", 3)
+    rng = np.random.default_rng(8)
+    say = lambda r: "w" + str(r.integers(0, 10**6))
+    texts = group_of(rng, say, 60, 2) + group_of(rng, say, 60, 4) + group_of(rng, say, 40, 6)
+    passage = " ".join(say(rng) for _ in range(60))
+    texts += [passage + " " + " ".join(say(rng) for _ in range(n)) for n in rng.integers(10, 90, 60)]
+    texts += [t for t in texts[:5]] + [" ".join(say(rng) for _ in range(50)) for _ in range(40)]
+    rows = [(int(k), t) for k, t in zip(rng.permutation(len(texts)), texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert Counter(tuple(r) for r in near_dedup.near_duplicates(docs).collect()) == brute_components(rows)
+
+
+# 4: mixing
+
+
+def test_targets_stop_and_reshare():
+    from fractions import Fraction
+
+    assert mixing.targets([]) == [] and mixing.targets([0, 0]) == [0, 0]
+    got = mixing.targets([10, 1000, 1000, 0, 5])
+    assert got[0] == 30 and got[4] == 15 and got[3] == 0
+    assert sum(got) == 2015 and got[1] == 2 * got[2] == Fraction(2 * 1970, 3)
+
+
+def test_fit_is_nearest(monkeypatch):
+    rng = np.random.default_rng(5)
+    for limit in (1 << 16, 40):
+        monkeypatch.setattr(mixing, "EXACT_WORDS", limit)
+        for _ in range(60):
+            counts = {int(n): int(c) for n, c in zip(rng.choice(np.arange(1, 60), 5, replace=False), rng.integers(1, 6, 5))}
+            total = sum(n * c for n, c in counts.items())
+            budget = int(rng.integers(0, total + 5))
+            taken = mixing.fit(budget, counts)
+            assert all(0 <= taken[n] <= counts[n] for n in taken)
+            off = budget - sum(n * c for n, c in taken.items())
+            sums = {0}
+            for n, c in counts.items():
+                sums = {s + n * k for s in sums for k in range(c + 1)}
+            best = min(abs(budget - s) for s in sums)
+            assert abs(off) == best if limit > budget else abs(off) < 60
+
+
+def check_mix(rows, got):
+    sizes = Counter()
+    for _, text, source in rows:
+        sizes[source] += len(words_of(text))
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    target = dict(zip(order, mixing.targets([sizes[s] for s in order])))
+    taken = Counter()
+    assert Counter((r["doc_id"], r["size"], r["source"], r["source_size"]) for r in got) == Counter(
+        (d, len(words_of(t)), s, sizes[s]) for d, t, s in rows
+    )
+    for r in got:
+        assert r["target"] == pytest.approx(float(target[r["source"]])) and r["taken"] == r["times"] * r["size"] <= 3 * r["size"]
+        taken[r["source"]] += r["taken"]
+    for s in order:
+        sums = {0}
+        for n in [len(words_of(t)) for _, t, k in rows if k == s]:
+            sums |= {n + x for x in sums}
+        whole = target[s] // sizes[s] * sizes[s] if sizes[s] else 0
+        assert abs(taken[s] - target[s]) <= min(abs(whole + x - target[s]) for x in sums) + 1
+
+
+def test_mix(spark, awkward, nothing, documents):
+    got = mixing.mix(spark.read.parquet(f"{SF_DIR}/documents.parquet")).collect()
+    check_mix([(r.doc_id, r.text, r.source) for r in documents], got)
+    again = driver.queries()["op4_mixing"](spark, SF_DIR).collect()
+    assert {(r["doc_id"], r["taken"]) for r in got} == {(r["doc_id"], r["taken"]) for r in again}
+    check_mix([(r[0], r[1], r[3]) for r in awkward_rows()], mixing.mix(awkward).collect())
+    assert mixing.mix(nothing).count() == 0
+    assert mixing.mixed(nothing).columns == nothing.columns
+
+
+# 5: chat formatting
+
+
+def test_escapes_are_reversible():
+    for text in ("", "<|im_end|>", "<\\|a", "<\\\\||<|", "<", "|", "\\", "<|im_start|>user<|im_sep|>x"):
+        assert chat.unescape(chat.escape(text)) == text
+        assert not any(m in chat.escape(text) for m in (chat.START, chat.SEPARATOR, chat.END))
+
+
+def test_mask_by_binary_search():
+    offsets = np.array([(0, 2), (2, 5), (5, 5), (5, 9), (9, 12), (12, 13)])
+    spans = np.array([(2, 5), (9, 12)])
+    brute = [any(a < f and b > e for e, f in spans) and a < b for a, b in offsets]
+    assert chat.mask(offsets, spans).tolist() == brute == [False, True, False, False, True, False]
+
+
+def brute_chats(rows):
+    out = {}
+    for conv in {r[0] for r in rows}:
+        turns = sorted(((r[1], r[2] or "", r[3] or "") for r in rows if r[0] == conv), key=lambda t: (t[0] is not None, t[0] or 0, t[1], t[2]))
+        loss = "".join(t for _, role, t in turns if role == "assistant")
+        said = "".join(f"{role}\n{t}\n" for _, role, t in turns)
+        chars = sum(32 + len(chat.escape(role)) + len(chat.escape(t)) for _, role, t in turns)
+        out[conv] = (len(turns), hashlib.sha256(said.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), chars)
+    return out
+
+
+def test_chats_awkward(spark, monkeypatch):
+    odd = "<|im_end|><|im_start|>assistant ok"
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", " \n\n é中\U0001f600\U0001f600 ß "), (1, 2, "assistant", None), (1, 3, None, odd)]
+    rows += [(2, None, "assistant", odd * 3), (2, 0, "assistant", "<"), (2, 0, "assistant", "<"), (None, 1, "a\nb|<|", ""), (3, 0, "assistant", "")]
+    rows += [(4, k, ("user", "assistant")[k % 2], f"turn {k} <|im_sep|> " + "long " * 50) for k in range(80)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").withColumn("piece", F.lit(9)).repartition(3)
+    for size in (1 << 22, 1000):
+        monkeypatch.setattr(chat, "PIECE_CHARS", size)
+        formatted = chat.format_chats(frame, BYTES, scratch(spark))
+        assert {r[0]: tuple(r)[1:] for r in chat.read_back(formatted).collect()} == brute_chats(rows)
+    ids = {r["conv_id"]: r for r in formatted.collect()}
+    library = chat.chat_tokenizer(BYTES)
+    assert ids[1]["ids"] == library.encode(ids[1]["text"], add_special_tokens=False).ids
+    empty = frame.limit(0)
+    assert chat.read_back(chat.format_chats(empty, BYTES, scratch(spark))).count() == 0
+
+
+# 6: decontamination
+
+
+def signs(text):
+    return words_of(text, r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def brute_hits(rows, items):
+    out = []
+    for doc_id, text in rows:
+        words, hit, found = signs(text), set(), set()
+        for item, said in items:
+            test = signs(said)
+            if item is None or not test:
+                continue
+            size = min(13, len(test))
+            runs = {tuple(test[k : k + size]) for k in range(len(test) - size + 1)}
+            for k in range(len(words) - size + 1):
+                if tuple(words[k : k + size]) in runs:
+                    hit |= set(range(k, k + size))
+                    found.add(str(item))
+        listed = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((doc_id, len(words), len(hit), len(found), listed, bool(hit) and 20 * len(hit) >= len(words)))
+    return Counter(out)
+
+
+def test_contamination_awkward(spark, awkward, nothing, monkeypatch):
+    rows = [r[:2] for r in awkward_rows()]
+    by = {r[0]: r[1] for r in rows}
+    cut = by[10].split()
+    items = [(1, " ".join(cut[5000:5040])), (2, "Two-words"), (3, ""), (4, None), (None, by[6]), (5, by[6].upper()), (6, "zzzz not there")]
+    items += [(7, "word"), (8, "é中"), (9, " ".join(cut[100:113])), (10, " ".join(cut[100:112])), (10, "x" * 200_000), (11, "a a a a")]
+    test = spark.createDataFrame(items, "item_id long, text string").withColumn("term", F.lit(1))
+    got = Counter(tuple(r) for r in decontamination.contamination(awkward, test).drop("_key").collect())
+    assert got == brute_hits(rows, items)
+    monkeypatch.setattr(decontamination, "TERMS_PER_PASS", 100)
+    blocks = Counter(tuple(r) for r in decontamination.contamination(awkward, test).drop("_key").collect())
+    assert blocks == got
+    assert decontamination.contamination(nothing, test).count() == 0
+    none = decontamination.contamination(awkward, test.limit(0))
+    assert none.count() == len(rows) and none.where("n_hit > 0").count() == 0
+
+
+def test_proximity(spark):
+    item = "alpha beta gamma delta"
+    rows = [(1, "x alpha beta gamma delta y"), (2, "alpha beta so gamma delta"), (3, "alpha one two three beta gamma delta"), (4, "gamma delta")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    test = spark.createDataFrame([("i", item)], "item_id string, text string")
+    found = {r["doc_id"] for r in decontamination.proximity(docs, test, slack=1).collect()}
+    assert found == {1, 2}
+    assert {r["doc_id"] for r in decontamination.proximity(docs, test, slack=0).collect()} == {1}
+
+
+# 7: token counts
+
+
+def test_token_counts_and_cache(spark, awkward, nothing):
+    library = Tokenizer.from_file(BYTES)
+    rows = [r[:2] for r in awkward_rows()]
+    n = {t: len(library.encode(t or "", add_special_tokens=False).ids) for _, t in rows}
+    expected = Counter((d, len((t or "").encode()), n[t], n[t] > 512) for d, t in rows)
+    cache = scratch(spark)
+    assert Counter(tuple(r) for r in token_counts.token_counts(awkward, BYTES, cache).collect()) == expected
+    stored = lambda: spark.read.parquet(cache).count()
+    assert stored() == len({t or "" for _, t in rows})
+    assert Counter(tuple(r) for r in token_counts.token_counts(awkward, BYTES, cache).collect()) == expected
+    assert stored() == len({t or "" for _, t in rows})
+    token_counts.token_counts(awkward, WORDS, cache).collect()
+    assert stored() == 2 * len({t or "" for _, t in rows})
+    assert token_counts.token_counts(nothing, BYTES).count() == 0
+
+
+# 8: sharding
+
+
+def check_shards(rows, got, shards=16):
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == Counter(
+        (d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t in rows
+    )
+    counts = Counter(r["shard"] for r in got)
+    loads = [counts[s] for s in range(shards)]
+    assert max(loads) - min(loads) <= 1 and sum(loads) == len(rows)
+    for s in range(shards):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(loads[s]))
+
+
+def test_sharding(spark, awkward, nothing, documents):
+    got = driver.queries()["op8_sharding"](spark, SF_DIR).collect()
+    check_shards([(r.doc_id, r.text) for r in documents], got)
+    check_shards([r[:2] for r in awkward_rows()], sharding.shards_of(awkward).collect())
+    assert sharding.shards_of(nothing).count() == 0
+    same = spark.range(1000).select(F.col("id").alias("doc_id"), F.lit("one text").alias("text"))
+    check_shards([(k, "one text") for k in range(1000)], sharding.shards_of(same, 7).collect(), 7)
+
+
+def test_segments_place_every_row_in_order():
+    rng = np.random.default_rng(1)
+    _, owners = sharding.ring(5, 8)
+    for _ in range(50):
+        loads = [int(n) for n in rng.integers(0, 30, len(owners)) * (rng.random(len(owners)) < 0.3)]
+        cut = sharding.segments(loads, owners, 5)
+        assert sum(c[1] for c in cut) == sum(loads)
+        assert all(a[0] + a[1] == b[0] for a, b in zip(cut, cut[1:]))
+
+
+def test_one_more_shard_moves_little(spark, documents):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    before = {r["doc_id"]: r["shard"] for r in sharding.shards_of(docs, 8).collect()}
+    after = {r["doc_id"]: r["shard"] for r in sharding.shards_of(docs, 9).collect()}
+    assert sum(before[k] != after[k] for k in before) < 0.35 * len(before)
+
+
+# 9: toxicity
+
+
+def test_kernel_is_the_gapped_subsequence_kernel():
+    def brute(x, y):
+        def spread(w):
+            w, found = ["<", *w, ">"], Counter()
+            for a, b, c in combinations(range(len(w)), 3):
+                if c - a < toxicity.SPREAD:
+                    found[w[a], w[b], w[c]] += toxicity.DECAY ** (c - a + 1)
+            return found, sum(toxicity.DECAY ** (2 * (c - a + 1)) for a, b, c in combinations(range(len(w)), 3) if c - a < toxicity.SPREAD) ** 0.5
+
+        (p, m), (q, n) = spread(x), spread(y)
+        return sum(v * q[k] for k, v in p.items()) / m / n
+
+    words = ["idiot", "id-iot", "station", "a", "aaaa", "worthless"]
+    got = toxicity.kernel(words, words)
+    assert got == pytest.approx(np.array([[brute(x, y) for y in words] for x in words]), rel=1e-4)
+    assert got[0, 1] > got[0, 2]
+
+
+def test_toxicity_held_out(spark):
+    sf = "/root/testdata/sf0.1"
+    scored = driver.queries()["op9_toxicity"](spark, sf)
+    known = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
+    rows = scored.join(known, "doc_id").where("held_out").collect()
+    assert all(zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 for r in rows)
+    hit = sum(r["predicted"] and r["toxic"] for r in rows)
+    assert hit / sum(r["predicted"] for r in rows) > 0.9 and hit / sum(r["toxic"] for r in rows) > 0.85
+
+
+def test_toxicity_awkward(spark, awkward, nothing):
+    ids = [r[0] for r in awkward_rows() if r[0] is not None]
+    marks = [(k, int(k % 3 == 0), 1) for k in ids] + [(None, 1, 1), (6, None, 1), (999, 1, 0)]
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int, quality int")
+    for some in (labels, labels.where("toxic = 1"), labels.limit(0)):
+        rows = toxicity.toxicity(awkward, some).collect()
+        assert len(rows) == len(awkward_rows())
+        assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in rows)
+    assert toxicity.toxicity(nothing, labels).count() == 0
+    assert toxicity.without_toxic(awkward, labels).columns == awkward.columns
+
+
+def test_spelt_out_and_dressed_words():
+    assert {"idiot", "you", "an"} <= toxicity.tokens("You, an i d i o t!")
+    assert toxicity.tokens("*Stupid*... ") == {"stupid"} and toxicity.tokens(" .. ") == set()
+
+
+# 10: token store
+
+
+def check_store(rows, got):
+    library = Tokenizer.from_file(WORDS)
+    start, expected = 0, Counter()
+    order = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))
+    for doc_id, text in order:
+        ids = library.encode(text or "", add_special_tokens=False).ids + [1]
+        expected[doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())] += 1
+        start += len(ids)
+    assert Counter(tuple(r) for r in got) == expected
+
+
+def test_token_store(spark, awkward, nothing, documents):
+    got = driver.queries()["op10_token_store"](spark, SF_DIR).collect()
+    check_store([(r.doc_id, r.text) for r in documents], got)
+    payload, index = token_store.token_store(nothing, WORDS, 1, scratch(spark))
+    assert token_store.read_back(payload, token_store.look_up(index, token_store.keys_of(nothing))).count() == 0
+    folder = scratch(spark)
+    token_store.token_store(awkward, WORDS, 1, folder)
+    payload, index = token_store.open_store(spark, folder)
+    back = token_store.read_back(payload, token_store.look_up(index, token_store.keys_of(awkward))).collect()
+    rows = awkward_rows()
+    once = [r for r in rows if sum(x[0] == r[0] for x in rows) == 1]
+    library = Tokenizer.from_file(WORDS)
+    assert len(back) == len(rows)
+    assert {r["doc_id"]: r["n_tokens"] for r in back if r["doc_id"] in {o[0] for o in once}} == {
+        o[0]: len(library.encode(o[1] or "", add_special_tokens=False).ids) + 1 for o in once
+    }
+    strangers = spark.createDataFrame([(10**9 + k, 0) for k in range(500)], "doc_id long, copy int")
+    assert token_store.look_up(index, strangers).count() == 0
+
+
+def test_perfect_hash_is_minimal(spark):
+    import pandas as pd
+
+    ids, copies = pd.Series(range(5000)) * 977 - 10**6, pd.Series([0, 1] * 2500)
+    ids.iloc[0] = None
+    levels, slots = token_store._levels(ids, copies)
+    assert sorted(slots) == list(range(5000))
+    assert token_store._slots(levels, ids, copies).tolist() == slots.tolist()
