@@ -135,10 +135,8 @@ PAIR = "menu_page_id, dish_id"
 
 
 def repaired(name: str, source: str) -> str:
-    exact = "cast({} as decimal(28,6))"
-
     def mean(c: str) -> str:
-        return f"cast(sum(distinct {exact.format(c)}) filter (where price is not null) as double) / nullif(count(distinct {c}) filter (where price is not null), 0)"
+        return f"round(avg(distinct {c}) filter (where price is not null), 9)"
 
     return f"""{name}_z as (select id, menu_page_id, case when price = 0 then high_price else price end as price, high_price, dish_id
     from {source} where not coalesce(price = 0 and high_price = 0, false)),
@@ -177,7 +175,7 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "menu_avg": (
         ("final_item", "stg_menu"),
         """menu_avg as (select f.menu_id, m.year as period, count(*) as item_count,
-      cast(sum(cast(clean_item_price as decimal(28,6))) as double) / count(*) as avg_price
+      round(avg(clean_item_price), 9) as avg_price
     from final_item f join stg_menu m on m.id = f.menu_id where clean_item_price > 0 group by f.menu_id, m.year)""",
     ),
     "messy": (
@@ -479,9 +477,11 @@ O["fd_3"] = sql("stg_item", dependency("FD-3", "stg_item", {"menu_page_id": "pag
 O["fd_5"] = sql("stg_dish_all", dependency("FD-5", "stg_dish_all", {"name": "name_values", "lowest_price": "lowest_price_values", "highest_price": "highest_price_values"}, "'changed' as name"))
 FD4 = """select 'FD-4' as rule_id, menu_page_id, dish_id, count(*) as line_count, count(distinct price) + case when count(*) > count(price) then 1 else 0 end as distinct_prices,
     count(price) as priced_lines, case when count(distinct price) > 1 then 'conflicting_prices' else 'price_and_blank' end as disposition,
-    array_to_string(list_sort(list(price) filter (where price is not null)), ',') as observed_prices
+    min(price) as low_price, max(price) as high_price
   from {} where dish_id is not null group by menu_page_id, dish_id having count(distinct price) + case when count(*) > count(price) then 1 else 0 end > 1"""
 O["fd_4"] = sql("stg_item", FD4.format("stg_item"))
+O["fd_4_prices"] = sql("stg_item", f"""select i.menu_page_id, i.dish_id, i.price, count(*) as n from stg_item i
+  join ({FD4.format("stg_item")}) f on f.menu_page_id is not distinct from i.menu_page_id and f.dish_id = i.dish_id group by all""")
 REPORT = "select {k}, count(*) as row_count, count(distinct {v}) + case when count(*) > count({v}) then 1 else 0 end as {n} from {s} group by {k} having count(distinct {v}) + case when count(*) > count({v}) then 1 else 0 end > 1"
 O["report_name_ids"] = sql("stg_dish_all", REPORT.format(k="name", v="id", n="id_values", s="stg_dish_all"))
 O["report_dish_prices"] = sql("stg_item", REPORT.format(k="dish_id", v="price", n="price_values", s="stg_item"))
@@ -491,7 +491,7 @@ O["ind_1"] = sql("page_clean stg_menu", ORPHAN.format("page_clean", "stg_menu",
 O["ind_2"] = sql("on_page", ORPHAN.format("stg_item", "ld_page", "menu_page_id"))
 O["ind_3"] = sql("on_page stg_dish", ORPHAN.format("on_page", "stg_dish", "dish_id"))
 O["ind_3_ignore_nulls"] = sql("on_page stg_dish", ORPHAN.format("on_page", "stg_dish", "dish_id") + " and dish_id is not null")
-O["ind_4"] = sql("final_item stg_menu", "select * from final_item where not exists (select 1 from stg_menu m where m.id = menu_id and m.year % 2 = 0)")
+O["ind_4"] = sql("final_item stg_menu", "select * from (select * from final_item union all select menu_item_id, -menu_id - 1, dish_name, clean_item_price from final_item where menu_item_id % 10 = 0) where not exists (select 1 from stg_menu m where m.id = menu_id)")
 O["ind_report"] = sql(
     "on_page stg_dish stg_menu page_clean",
     f"""select 'IND-1' as IND_reason, 'stg_menu_page' as source_table, id, menu_id, cast(null as bigint) as menu_page_id, cast(null as double) as price, cast(null as double) as high_price, cast(null as bigint) as dish_id
@@ -513,7 +513,7 @@ def report(n: str, source: str, shown: str, text: str, predicate: str) -> str:
     return f"select 0 as iteration, 'IC' as family, 'IC-{n}' as rule_id, '{NAMES[source]}' as source_table, cast(id as varchar) as row_key, cast(null as varchar) as disposition, {lit(text)} as violation, cast(json_object({pairs}) as varchar) as details from {LOADED[source]} where {predicate}"
 
 
-FD4_KEYS = ("menu_page_id", "dish_id", "line_count", "distinct_prices", "priced_lines", "observed_prices")
+FD4_KEYS = ("menu_page_id", "dish_id", "line_count", "distinct_prices", "priced_lines", "low_price", "high_price")
 O["violation_report"] = sql(
     "stg_menu ld_item ld_page stg_dish",
     "\nunion all ".join(report(*rule) for rule in IC)
@@ -598,12 +598,12 @@ O["top_menus"] = sql(
 O["top_span"] = "select l_partkey, first_seen, last_seen, cast(date_diff('day', first_seen, last_seen) as int) as span_days from (select l_partkey, cast(min(l_shipdate) as date) as first_seen, cast(max(l_shipdate) as date) as last_seen from lineitem group by l_partkey) order by span_days desc, l_partkey limit 20"
 O["menu_items"] = sql("item_raw page_raw dish_raw", "select p.menu_id, i.menu_page_id, i.id as menu_item_id, i.dish_id, d.name, i.price from item_raw i join page_raw p on p.id = i.menu_page_id left join dish_raw d on d.id = i.dish_id")
 LIMITS = (0.05, 0.01, 0.005, 0.001)
-MEAN = "cast(sum(cast({} as decimal(28,6))) as double) / count(*)"
+MEAN = "round(avg({}), 9)"
 O["cap_sensitivity"] = sql(
     "item_clean page_clean stg_menu",
     "\nunion all ".join(
         f"""select {limit * 100!r}::double as limit_pct, (select c{i} from caps) as threshold, quarter, count(*) as menus, cast(sum(h{i}) as bigint) as items_capped,
-    (cast(sum(cast(a{i} as decimal(28,6))) as double) - cast(sum(cast(avg_price as decimal(28,6))) as double)) * 100 / cast(sum(cast(avg_price as decimal(28,6))) as double) as pct_change from q group by quarter"""
+    round((sum(a{i}) - sum(avg_price)) * 100 / sum(avg_price), 9) as pct_change from q group by quarter"""
         for i, limit in enumerate(LIMITS)
     ),
     "caps as (select " + ", ".join(f"quantile_cont(price_2dp::double, {1 - x!r}) as c{i}" for i, x in enumerate(LIMITS)) + " from item_clean where price_2dp::double > 0)",

@@ -5,12 +5,13 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import SparkSession
 
 from scrubline.plans import run
 from scrubline.sources.sinks import collect_log
-from scrubline.sources.text import ShapeError
+from scrubline.sources.text import ShapeError, is_header_error
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -21,6 +22,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--format", default="parquet", choices=("csv", "parquet"))
     parser.add_argument("--no-snapshots", action="store_true")
     parser.add_argument("--ordered", action="store_true", help="snapshots and change logs in source row order")
+    parser.add_argument("--multiline", action="store_true", help="inputs have line breaks inside quotes")
     args = parser.parse_args(argv)
 
     tables = args.tables or list(run.TABLES)
@@ -32,11 +34,16 @@ def main(argv: list[str] | None = None) -> int:
     sources = {t: f"{args.input}/{t}.csv" for t in tables}
     try:
         traces = run.clean_all(
-            spark, sources, args.output, args.format, not args.no_snapshots, args.ordered
+            spark, sources, args.output, args.format, not args.no_snapshots, args.ordered, args.multiline
         )
     except (AnalysisException, ShapeError) as error:
         print(str(error).splitlines()[0])
         return 1
+    except (PySparkException, Py4JJavaError) as error:
+        if not is_header_error(error):
+            raise
+        print("a file's header differs from the one its table declares")
+        return 1
     log = collect_log(spark, [f"{args.output}/{t}/summary" for t in tables], args.format)
     print("\n".join(run.report(traces, log)))
     if set(tables) == set(run.TABLES):

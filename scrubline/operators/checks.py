@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from scrubline import vocab as V
 from scrubline.operators.skew import join_groups
 
-MAX_LISTED_LINES = 10_000
 
 
 # --- integrity --------------------------------------------------------------
@@ -230,31 +229,31 @@ FD_KEYS = {
 }
 
 
-def price_conflicts(items: DataFrame) -> DataFrame:
-    """FD-4: a dish listed twice on a page must be priced once or not at all.
-
-    Lines are counted per (page, dish, price) before groups are formed, so a group with
-    very many lines reaches its task as one row per price.  ``observed_prices`` lists every
-    priced line in order; past 10,000 lines each price is written once with its count.
-    """
-    per_price = (
+def _line_prices(items: DataFrame) -> DataFrame:
+    """Lines per (page, dish, price); equal lines meet where they are read."""
+    return (
         items.where(F.col("dish_id").isNotNull())
         .groupBy("menu_page_id", "dish_id", "price")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    priced = F.col("price").isNotNull()
-    pairs = F.sort_array(F.collect_list(F.when(priced, F.struct("price", "n"))))
-    text = lambda p: p["price"].cast("string")
-    listed = F.flatten(F.transform("pairs", lambda p: F.array_repeat(text(p), p["n"].cast("int"))))
-    counted = F.transform("pairs", lambda p: F.concat(text(p), F.lit(" x"), p["n"].cast("string")))
+
+
+def price_conflicts(items: DataFrame) -> DataFrame:
+    """FD-4: a dish listed twice on a page must be priced once or not at all.
+
+    A group is described by its counts and its price range, whatever its size;
+    :func:`conflict_prices` lists its prices.
+    """
     return (
-        per_price.groupBy("menu_page_id", "dish_id")
+        _line_prices(items)
+        .groupBy("menu_page_id", "dish_id")
         .agg(
             F.sum("n").alias("line_count"),
             F.count(F.lit(1)).alias("distinct_prices"),
-            F.sum(F.when(priced, F.col("n")).otherwise(0)).alias("priced_lines"),
+            F.sum(F.when(F.col("price").isNotNull(), F.col("n")).otherwise(0)).alias("priced_lines"),
             F.count("price").alias("_real"),
-            pairs.alias("pairs"),
+            F.min("price").alias("low_price"),
+            F.max("price").alias("high_price"),
         )
         .where("distinct_prices > 1")
         .select(
@@ -267,8 +266,14 @@ def price_conflicts(items: DataFrame) -> DataFrame:
             F.when(F.col("_real") > 1, "conflicting_prices")
             .otherwise("price_and_blank")
             .alias("disposition"),
-            F.array_join(
-                F.when(F.col("priced_lines") <= MAX_LISTED_LINES, listed).otherwise(counted), ","
-            ).alias("observed_prices"),
+            "low_price",
+            "high_price",
         )
     )
+
+
+def conflict_prices(items: DataFrame) -> DataFrame:
+    """Every price of every FD-4 group with its number of lines, one row each."""
+    lines = _line_prices(items)
+    groups = lines.groupBy("menu_page_id", "dish_id").agg(F.count(F.lit(1)).alias("prices")).where("prices > 1")
+    return join_groups(lines, groups, ["menu_page_id", "dish_id"], "prices", "left_semi")

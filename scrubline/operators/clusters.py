@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrubline.operators.skew import join_groups
 
 
-def variants(df: DataFrame, key: Column, value: Column) -> DataFrame:
-    """Distinct values with their key and row count; repeated values meet map-side first."""
-    return (
-        df.select(key.alias("cluster_key"), value.alias("variant"))
-        .groupBy("cluster_key", "variant")
-        .agg(F.count(F.lit(1)).alias("variant_rows"))
-    )
+def variants(df: DataFrame, value: str, key: Callable[[Column], Column]) -> DataFrame:
+    """Distinct values with their row count and key; the key is made once per distinct value."""
+    values = df.groupBy(F.col(value).alias("variant")).agg(F.count(F.lit(1)).alias("variant_rows"))
+    return values.select(key(F.col("variant")).alias("cluster_key"), "variant", "variant_rows")
 
 
 def clusters(found: DataFrame) -> DataFrame:

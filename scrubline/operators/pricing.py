@@ -12,7 +12,8 @@ from scrubline.operators.quantiles import exact_quantiles
 from scrubline.operators.ranking import ranked, tile, top_rows
 from scrubline.vocab import PriceSource, Reason
 
-MONEY = "decimal(28,6)"
+#: Decimals that means are rounded to, so that the order of summing rows changes no digit.
+DIGITS = 9
 
 
 def fallback_prices(items: DataFrame, dishes: DataFrame) -> DataFrame:
@@ -73,8 +74,8 @@ def price_source_counts(priced: DataFrame) -> DataFrame:
 
 
 def mean_price(price: Column) -> Column:
-    """Mean as an exact decimal sum over a count: the same digits under any partitioning."""
-    return F.sum(price.cast(MONEY)).cast("double") / F.count(price)
+    """Mean in double precision, rounded to nine decimals; any price counts, however large."""
+    return F.round(F.avg(price), DIGITS)
 
 
 def year_period(year: Column) -> Column:
@@ -164,8 +165,8 @@ def cap_sensitivity(
     quartered = ranked(per_menu, "scope", [F.col("avg_price"), F.col("menu_id")]).withColumn(
         "quarter", tile(4)
     )
-    total = F.sum(F.col("avg_price").cast(MONEY)).cast("double").alias("before")
-    sums = [F.sum(F.col(f"avg{i}").cast(MONEY)).cast("double").alias(f"after{i}") for i in range(len(limits))]
+    total = F.sum("avg_price").alias("before")
+    sums = [F.sum(f"avg{i}").alias(f"after{i}") for i in range(len(limits))]
     hits = [F.sum(f"hit{i}").alias(f"hits{i}") for i in range(len(limits))]
     edges = [F.max(f"cap{i}").alias(f"edge{i}") for i in range(len(limits))]
     by_quarter = quartered.groupBy("quarter").agg(F.count(F.lit(1)).alias("menus"), total, *sums, *hits, *edges)
@@ -176,7 +177,7 @@ def cap_sensitivity(
             F.col("quarter"),
             F.col("menus"),
             F.col(f"hits{i}").alias("items_capped"),
-            ((F.col(f"after{i}") - F.col("before")) * 100 / F.col("before")).alias("pct_change"),
+            F.round((F.col(f"after{i}") - F.col("before")) * 100 / F.col("before"), DIGITS).alias("pct_change"),
         )
         for i, x in enumerate(limits)
     ]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scrubline import vocab as V
 from scrubline.functions.cleaners import NUMBER
-from scrubline.functions.unicode import LETTER_OR_DIGIT
+from scrubline.functions.unicode import LETTER_OR_DIGIT, strip_spaces
 
 def _unpivot(row: DataFrame, table: str, columns: list[str], metrics: tuple[str, ...]) -> DataFrame:
     lines = [
@@ -34,7 +34,7 @@ def profile(df: DataFrame, table: str, numeric: tuple[str, ...] = ()) -> DataFra
         "column",
         "value",
         "n",
-        F.trim("value").alias("text"),
+        strip_spaces(F.col("value")).alias("text"),
         F.col("column").isin(*numeric).alias("numeric") if numeric else F.lit(False).alias("numeric"),
     ).select(
         "*",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from scrubline.operators.skew import join_groups
 
 PAIR = ["menu_page_id", "dish_id"]
-EXACT = "decimal(28,6)"
+DIGITS = 9
 
 
 def repair_zero_prices(items: DataFrame) -> DataFrame:
@@ -20,8 +20,8 @@ def repair_zero_prices(items: DataFrame) -> DataFrame:
 
 
 def mean_of_distinct(column: str) -> Column:
-    """``AVG(DISTINCT x)`` summed as decimals, so that no order of rows changes a digit."""
-    return F.sum_distinct(F.col(column).cast(EXACT)).cast("double") / F.count_distinct(column)
+    """``AVG(DISTINCT x)`` rounded to nine decimals, so that no order of rows changes a digit."""
+    return F.round(F.sum_distinct(F.col(column)) / F.count_distinct(column), DIGITS)
 
 
 def repair_price_conflicts(items: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ else.  ``Trace.stored`` writes the wide frame once when several artifacts are wa
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from itertools import groupby
@@ -326,6 +327,7 @@ def is_constant(df: DataFrame, column: str) -> bool:
 
 def _drop(trace: Trace, at: int, step: Drop, current: dict[str, str], id_column: str) -> None:
     if step.only_constant and not is_constant(trace.df, current[step.column]):
+        warnings.warn(f"{trace.table}.{step.column} holds several values and is kept", stacklevel=2)
         return
     del current[step.column]
     tag = f"{step.column}:{Op.COLUMN_DROPPED}"

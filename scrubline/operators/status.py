@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrubline import vocab as V
+from scrubline.functions.unicode import strip_spaces
 from scrubline.operators.stages import Trace
 from scrubline.vocab import Reason, Status
 
 
 def _blank(raw: Column) -> Column:
-    return raw.isNull() | F.trim(raw).isin(*V.NULL_TOKENS)
+    return raw.isNull() | strip_spaces(raw).isin(*V.NULL_TOKENS)
 
 
 def _warnings(trace: Trace) -> list[tuple[Column, str]]:

@@ -19,7 +19,7 @@ from scrubline.plans import cleaning, staging, validation
 from scrubline.plans.staging import Tables
 from scrubline.sources import fixtures
 from scrubline.sources.text import stamp_rows
-from scrubline.sources.workspace import Workspace
+from scrubline.sources.workspace import Workspace, content_version
 
 Query = Callable[[SparkSession, str], DataFrame]
 TABLES = ("menu", "menu_page", "menu_item", "dish")
@@ -34,8 +34,10 @@ class Menus:
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Menus:
         key = (spark.sparkContext.applicationId, sf_dir)
-        if key not in cls._open:
+        version = content_version(spark, sf_dir)
+        if key not in cls._open or cls._open[key].version != version:
             cls._open[key] = cls(spark, sf_dir)
+            cls._open[key].version = version
         return cls._open[key]
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
@@ -72,8 +74,7 @@ class Menus:
         return {t: staging.typed(t, self.trace(t, scoped).cleaned()) for t in TABLES}
 
     def loaded(self) -> Tables:
-        tables = staging.load(self.staged())
-        return {t: self.work.table(f"loaded_{t}", lambda t=t: tables[t]) for t in TABLES}
+        return {t: self.work.table(f"loaded_{t}", lambda t=t: staging.load(self.staged())[t]) for t in TABLES}
 
     def repaired(self) -> Tables:
         loaded = self.loaded()
@@ -81,8 +82,11 @@ class Menus:
         return {**loaded, "menu_item": items}
 
     def rule_counts(self) -> DataFrame:
-        passes = [validation.rule_counts(t, i) for i, t in enumerate((self.loaded(), self.repaired()))]
-        return self.work.table("rule_counts", lambda: passes[0].unionByName(passes[1]))
+        def both() -> DataFrame:
+            passes = enumerate((self.loaded(), self.repaired()))
+            return union([validation.rule_counts(tables, i) for i, tables in passes])
+
+        return self.work.table("rule_counts", both)
 
     def prepare(self) -> None:
         """Write every phase that queries share."""
@@ -295,7 +299,7 @@ def _(m):
     out_of_scope = m.raw("menu").where(~menu[-1][1]).select(
         F.lit("menu").alias("table"), F.col("id").cast("bigint").alias("row_key"), F.concat(F.lit("scope:"), failed).alias("reason")
     )
-    dishes = m.raw("dish").where((F.trim("lowest_price") == "") & (F.trim("highest_price") == "")).select(
+    dishes = m.raw("dish").where(~cleaning.has_price_cell()).select(
         F.lit("dish").alias("table"), F.col("id").cast("bigint").alias("row_key"), F.lit("scope:price").alias("reason")
     )
     return union([omitted, *orphans, out_of_scope, dishes])
@@ -371,18 +375,21 @@ def _names(m: Menus) -> DataFrame:
              when 0 then concat(split_part(p_name, ' ', 2), ', ', split_part(p_name, ' ', 1))
              when 1 then concat(upper(p_name), '.') else p_name end as name"""
     )
-    folded = names.select("name", keys.folded_lower(F.col("name")).alias("folded"))
-    return folded.select("name", keys.fingerprint(F.col("folded")).alias("key"))
+    return names
+
+
+def _fingerprint(name: Column) -> Column:
+    return keys.fingerprint(keys.folded_lower(name))
 
 
 @query("cluster_fingerprint")
 def _(m):
-    return clusters.clusters(clusters.variants(_names(m), F.col("key"), F.col("name")))
+    return clusters.clusters(clusters.variants(_names(m), "name", _fingerprint))
 
 
 @query("cluster_members")
 def _(m):
-    return clusters.cluster_members(clusters.variants(_names(m), F.col("key"), F.col("name")))
+    return clusters.cluster_members(clusters.variants(_names(m), "name", _fingerprint))
 
 
 @query("cluster_phonetic")
@@ -390,7 +397,7 @@ def _(m):
     names = m.trace("dish").snapshot()
     found = []
     for method in (keys.soundex, keys.cologne, keys.metaphone):
-        groups = clusters.clusters(clusters.variants(names, method(F.col("name")), F.col("name")))
+        groups = clusters.clusters(clusters.variants(names, "name", method))
         found.append(groups.select(F.lit(method.__name__).alias("method"), "*"))
     return union(found)
 
@@ -418,6 +425,11 @@ def _(m):
     return checks.price_conflicts(m.staged(False)["menu_item"])
 
 
+@query("fd_4_prices")
+def _(m):
+    return checks.conflict_prices(m.staged(False)["menu_item"])
+
+
 @query("report_name_ids")
 def _(m):
     return checks.fd_report(m.staged(False)["dish"], "name", "id", "id_values")
@@ -448,10 +460,11 @@ def _(m):
 
 @query("ind_4")
 def _(m):
-    """Final items against the menus of a narrower scope (the dollar menus of even years)."""
+    """Final items, with copies that point to no menu for every tenth item, against all final menus."""
     tables = m.repaired()
-    menus = staging.final_menu(tables).where("cleaned_year % 2 = 0")
-    return checks.ind_violations(staging.final_item(tables), "menu_id", menus, "menu_id")
+    items = staging.final_item(tables)
+    dangling = items.where("menu_item_id % 10 = 0").withColumn("menu_id", -F.col("menu_id") - 1)
+    return checks.ind_violations(items.unionByName(dangling), "menu_id", staging.final_menu(tables), "menu_id")
 
 
 @query("ind_report")

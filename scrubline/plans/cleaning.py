@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scrubline import vocab as V
 from scrubline.functions.cleaners import CURRENCY, DATE, DECIMAL, INT, NAME
+from scrubline.functions.unicode import strip_spaces
 from scrubline.operators.stages import (
     Apply,
     Drop,
@@ -106,7 +107,7 @@ def scope_predicates() -> list[tuple[str, Column]]:
     single = [
         ("currency", F.col("currency") == "Dollars"),
         ("status", F.col("status") == "complete"),
-        ("date", F.trim("date") != ""),
+        ("date", strip_spaces(F.col("date")) != ""),
         ("year", year.between(V.MIN_PLAUSIBLE_YEAR, V.MAX_PLAUSIBLE_YEAR)),
     ]
     steps, so_far = [("raw", F.lit(True))], F.lit(True)
@@ -136,4 +137,8 @@ def scope_waterfall(menu: DataFrame) -> DataFrame:
 
 def scope_dish(dish: DataFrame) -> DataFrame:
     """Dishes with at least one price cell filled in."""
-    return dish.where((F.trim("lowest_price") != "") | (F.trim("highest_price") != ""))
+    return dish.where(has_price_cell())
+
+
+def has_price_cell() -> Column:
+    return (strip_spaces(F.col("lowest_price")) != "") | (strip_spaces(F.col("highest_price")) != "")

@@ -25,6 +25,7 @@ def clean_to_storage(
     fmt: str = "parquet",
     snapshots: bool = True,
     ordered: bool = False,
+    multiline: bool = False,
 ) -> Trace:
     """Clean one CSV export and write its artifacts.
 
@@ -32,7 +33,7 @@ def clean_to_storage(
     only its own columns.  Rows stay in the order of their scan; ``ordered`` sorts snapshots
     and change logs across files too.
     """
-    stamped = stamp_rows(read_text_csv(spark, source, table))
+    stamped = stamp_rows(read_text_csv(spark, source, table, multiline=multiline))
     trace = cleaning.clean_table(table, stamped).stored(f"{output}/{table}/trace")
     arrange = in_row_order if ordered else (lambda df: df)
     root = f"{output}/{table}"
@@ -61,11 +62,12 @@ def clean_all(
     fmt: str = "parquet",
     snapshots: bool = True,
     ordered: bool = False,
+    multiline: bool = False,
 ) -> dict[str, Trace]:
     """Clean the given tables side by side (they share nothing) and roll up their summaries."""
     with ThreadPoolExecutor(len(sources)) as pool:
         jobs = {
-            t: pool.submit(clean_to_storage, spark, t, path, output, fmt, snapshots, ordered)
+            t: pool.submit(clean_to_storage, spark, t, path, output, fmt, snapshots, ordered, multiline)
             for t, path in sources.items()
         }
         traces = {t: job.result() for t, job in jobs.items()}
@@ -118,11 +120,10 @@ def validate_and_build(
 
 
 def report(traces: dict[str, Trace], log: DataFrame) -> list[str]:
-    """Printable lines: rules and cell changes per table."""
+    """One printable line per table: its cell changes and the rules that made them."""
     rows = log.groupBy("table").agg(F.count(F.lit(1)).alias("rules"), F.sum("rows_affected").alias("n"))
     found = {r["table"]: r for r in rows.collect()}  # one row per table
     return [
-        f"{t:<10} {found[t]['n'] if t in found else 0:>12,} cell-level changes across "
-        f"{found[t]['rules'] if t in found else 0} rules"
+        f"{t}: {found[t]['rules'] if t in found else 0} rules changed {found[t]['n'] if t in found else 0} cells"
         for t in traces
     ]

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrubline.operators.checks import ind_kept, ind_violations, tag_ind
@@ -97,5 +100,17 @@ def final_item_priced(priced: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def as_money(df: DataFrame, *columns: str) -> DataFrame:
-    """Prices as ``decimal(18,2)`` for a final sink."""
-    return df.withColumns({c: F.col(c).cast("decimal(18,2)") for c in columns})
+    """Prices as ``decimal(18,2)`` for a final sink, without rows that have one too large for it.
+
+    :func:`too_large` gives those rows.
+    """
+    kept = df.where(~_unfit(columns))
+    return kept.withColumns({c: F.col(c).try_cast("decimal(18,2)") for c in columns})
+
+
+def too_large(df: DataFrame, *columns: str) -> DataFrame:
+    return df.where(_unfit(columns))
+
+
+def _unfit(columns: tuple[str, ...]) -> Column:
+    return reduce(or_, (F.col(c).isNotNull() & F.col(c).try_cast("decimal(18,2)").isNull() for c in columns))

@@ -9,11 +9,8 @@ from pyspark.sql import types as T
 from scrubline import vocab as V
 
 
-MAX_BROADCAST_BLOCKS = 100_000
-
-
 class ShapeError(ValueError):
-    """A file does not have the columns its table declares."""
+    """The header of an input isn't the one its table declares."""
 
 
 def text_schema(columns: tuple[str, ...]) -> T.StructType:
@@ -22,32 +19,38 @@ def text_schema(columns: tuple[str, ...]) -> T.StructType:
 
 def check_shape(table: str, actual: list[str], expected: tuple[str, ...]) -> None:
     if tuple(actual) != tuple(expected):
-        raise ShapeError(f"{table} has columns {tuple(actual)}, expected {tuple(expected)}")
+        raise ShapeError(f"table {table}: header is {list(actual)}; declared are {list(expected)}")
 
 
 def read_text_csv(
-    spark: SparkSession, path: str, table: str, columns: tuple[str, ...] | None = None
+    spark: SparkSession,
+    path: str,
+    table: str,
+    columns: tuple[str, ...] | None = None,
+    multiline: bool = False,
 ) -> DataFrame:
     """Read a CSV as text only; a blank cell is the empty string, never NULL.
 
-    The header is read from the file (one line), not trusted from the position.
+    The first header is compared here, every other file's when the file is read; a file
+    whose columns are named or ordered otherwise stops the read.  Files are split over
+    tasks.  ``multiline`` is for files with line breaks inside quotes; such a file can't be
+    split, and each is one task.
     """
     expected = columns or V.RAW_COLUMNS[table]
-    options = dict(header=True, multiLine=True, escape='"', encoding="UTF-8", inferSchema=False)
-    header = spark.read.options(**{**options, "multiLine": False}).csv(path).columns
-    check_shape(table, header, expected)
-    # nullValue is a token no cell holds, so that blanks stay blank.
-    frame = (
-        spark.read.schema(text_schema(expected))
-        .options(**options, nullValue="\u0000", emptyValue="")
-        .csv(path)
-    )
-    return frame.fillna("")
+    options = dict(header=True, escape='"', encoding="UTF-8", inferSchema=False)
+    check_shape(table, spark.read.options(**options).csv(path).columns, expected)
+    reader = spark.read.schema(text_schema(expected)).options(**options, enforceSchema=False, multiLine=multiline)
+    return reader.csv(path).fillna("")
+
+
+def is_header_error(error: Exception) -> bool:
+    """Whether a read stopped at a file with another header."""
+    return "CSV header does not conform" in str(error)
 
 
 def read_typed_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Read a cleaned CSV with explicit types; blank is NULL."""
-    return spark.read.schema(schema).options(header=True, escape='"', multiLine=True).csv(path)
+    """Read a cleaned CSV of ours with explicit types; blank is NULL.  Our cells hold no line breaks."""
+    return spark.read.schema(schema).options(header=True, escape='"').csv(path)
 
 
 def stamp_rows(frame: DataFrame, file_name: str | None = None) -> DataFrame:
@@ -55,9 +58,9 @@ def stamp_rows(frame: DataFrame, file_name: str | None = None) -> DataFrame:
 
     Must follow the file scan directly.  Each scan block (file, start offset) counts its
     rows; the counts of earlier blocks of the file give its offset.  There is one count
-    row per block and never one per record; up to 100,000 blocks (tens of megabytes) it is
-    broadcast and no record moves, beyond that both sides are shuffled by block.  No global
-    window is involved.
+    row per block and never one per record; the join that brings them back is left to
+    adaptive execution, which broadcasts them as long as they are small.  No global window
+    is involved.
     """
     columns = frame.columns
     placed = frame.select(
@@ -76,10 +79,7 @@ def stamp_rows(frame: DataFrame, file_name: str | None = None) -> DataFrame:
         .withColumn("_before", F.sum("_n").over(in_file) - F.col("_n"))
         .drop("_n")
     )
-    # Scan planning alone tells the number of blocks: at most one per file and per split.
-    blocks = len(frame.inputFiles()) + frame.rdd.getNumPartitions()
-    side = F.broadcast(offsets) if blocks <= MAX_BROADCAST_BLOCKS else offsets
-    return placed.join(side, block).select(
+    return placed.join(offsets, block).select(
         *columns,
         (F.lit(file_name) if file_name else F.col("_name")).alias(V.SOURCE_FILE),
         (F.col("_before") + F.col("_seq") - F.col("_first") + 1).alias(V.SOURCE_ROW),

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import atexit
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder the session names; a temporary one only where none is set."""
+    """The checkpoint folder the session names; a temporary one only for a local master."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
         configured = spark.conf.get("spark.checkpoint.dir", None)
         if not configured:
+            if not (context.master == "local" or context.master.startswith("local[")):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             import tempfile
 
             configured = tempfile.mkdtemp(prefix="scrubline-")
@@ -20,8 +23,20 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def content_version(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of the files in a folder, one level deep, so that changed input is noticed."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = []
+    for entry in files.listStatus(path):
+        inner = files.listStatus(entry.getPath()) if entry.isDirectory() else [entry]
+        found += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in inner]
+    return tuple(sorted(found))
+
+
 class Workspace:
-    """Writes a table once per session and reads it back ever after.
+    """Writes a table once and reads it back ever after; deleted when the driver ends.
 
     Phases (clean, load, repair) hand over through storage: plans stay short, later phases
     scan only the columns they need, and a lost executor never recomputes an earlier phase.
@@ -31,6 +46,15 @@ class Workspace:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/scrubline-{uuid4().hex}"
         self._written: set[str] = set()
+        atexit.register(self.delete)
+
+    def delete(self) -> None:
+        """Remove everything written here; nothing is left to do once the session has stopped."""
+        if self.spark.sparkContext._jsc is None:
+            return
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        self._written.clear()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"

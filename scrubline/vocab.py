@@ -43,7 +43,6 @@ class Op:
     DATE_SPLIT = "date_split"
     CURRENCY_MAPPED = "currency_mapped"
     COLUMN_DROPPED = "column_dropped"
-    ROW_OMITTED = "row_omitted"
 
 
 class Status:

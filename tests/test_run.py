@@ -14,7 +14,7 @@ from scrubline.operators.status import row_status
 from scrubline.plans import cleaning, run
 from scrubline.sources import fixtures
 from scrubline.sources.sinks import collect_log, write
-from scrubline.sources.text import ShapeError, read_text_csv, stamp_rows
+from scrubline.sources.text import ShapeError, is_header_error, read_text_csv, stamp_rows
 
 FILES = {
     "menu": 'id,date,currency,status\n1,1900-04-16T00:00:00Z,Dollars,complete\n2, 1901-01-02,Dollars,complete\n3,,Francs,complete\nx7,2928-01-01,,complete\n',
@@ -49,6 +49,38 @@ def test_wrong_header_is_refused(spark, folder):
         read_text_csv(spark, f"{folder}/menu_page.csv", "dish")
 
 
+def written(files: dict[str, str]) -> str:
+    path = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    for name, text in files.items():
+        with open(f"{path}/{name}.csv", "w", encoding="utf-8", newline="") as file:
+            file.write(text)
+    return path
+
+
+def test_every_file_of_a_folder_must_have_the_header(spark):
+    path = written({"a": "id,menu_id\n1,10\n", "b": "menu_id,id\n300,3\n"})
+    with pytest.raises(Exception) as caught:
+        read_text_csv(spark, path, "menu_page").collect()
+    assert isinstance(caught.value, ShapeError) or is_header_error(caught.value)
+
+
+def test_a_zero_character_survives_the_read(spark):
+    path = written({"a": "id,menu_id\n\x00,10\n2,\n"})
+    assert sorted(map(tuple, read_text_csv(spark, path, "menu_page").collect())) == [("\x00", "10"), ("2", "")]
+
+
+def test_files_are_split_unless_lines_may_break_in_quotes(spark):
+    path = written({"a": "id,menu_id\n" + "".join(f"{i},{i}\n" for i in range(20_000))})
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "13000")
+    try:
+        assert read_text_csv(spark, path, "menu_page").rdd.getNumPartitions() >= 16
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    path = written({"a": 'id,name,lowest_price,highest_price\n1,"Soup\nof day",1,2\n'})
+    (row,) = read_text_csv(spark, path, "dish", multiline=True).collect()
+    assert row.name == "Soup\nof day"
+
+
 def test_row_numbers_over_many_blocks_and_files(spark):
     path = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     for name, n in (("a", 20_000), ("b", 3), ("c", 7_000)):
