@@ -16,6 +16,12 @@ from scrubline.llm.storage import row_key, scratch, ship, without
 ORACLE_SQL = None
 
 
+def _unlisted(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id and text, by :func:`row_key`, aren't in ``gone``."""
+    keyed = docs.withColumn("_key", row_key(F.coalesce("text", F.lit(""))))
+    return without(keyed, gone, ["doc_id", "_key"]).select(*docs.columns)
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted to be toxic go."""
     ship(spark)
@@ -23,10 +29,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the one with the smallest doc_id."""
+    """One document of each group of near-duplicates stays: the one with the smallest doc_id.
+
+    Rows of a group that share its smallest doc_id, or that all have none, stay together.
+    """
     ship(spark)
-    gone = copies.near_duplicates(docs).where(~F.col("kept")).select("doc_id")
-    return without(docs, gone, ["doc_id"])
+    gone = copies.keyed_duplicates(docs).where(~F.col("kept")).select("doc_id", "_key")
+    return _unlisted(docs, gone)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +43,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ship(spark)
     found = benchmark.contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     gone = found.where("contaminated").select("doc_id", "_key")
-    keyed = docs.withColumn("_key", row_key(F.coalesce("text", F.lit(""))))
-    return without(keyed, gone, ["doc_id", "_key"]).select(*docs.columns)
+    return _unlisted(docs, gone)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

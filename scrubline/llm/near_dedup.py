@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrubline.llm.components import components
-from scrubline.llm.storage import sifted, stored, texts
+from scrubline.llm.storage import row_key, sifted, stored, texts
 from scrubline.llm.textscan import SPACES, mix, shingles, words
 
 TREES = 8
@@ -28,7 +28,7 @@ LEAST_ESTIMATE = 0.75 - 5 * (0.75 * 0.25 / COORDINATES) ** 0.5
 _RNG = np.random.default_rng(977)
 _A = _RNG.integers(1, 2**63, COORDINATES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RNG.integers(1, 2**63, COORDINATES, dtype=np.uint64)
-SKETCH = "doc_id long, n int, rid binary, signature binary"
+SKETCH = "doc_id long, _key long, n int, rid binary, signature binary"
 
 
 def _sets(column: pa.Array) -> Iterator[tuple[int, list[np.ndarray], np.ndarray, np.ndarray]]:
@@ -47,8 +47,8 @@ def _set_id(members: np.ndarray) -> bytes:
 
 def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids = batch.column(0)
-        for row, sets, value, per_text in _sets(batch.column(1)):
+        ids, keys = batch.column(0), batch.column(1)
+        for row, sets, value, per_text in _sets(batch.column(2)):
             full = np.flatnonzero(per_text)
             starts = (np.cumsum(per_text) - per_text)[full]
             signature = np.zeros((len(per_text), COORDINATES), dtype=np.uint32)
@@ -58,11 +58,12 @@ def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.slice(row, len(sets)),
+                    keys.slice(row, len(sets)),
                     pa.array([len(s) for s in sets], pa.int32()),
                     pa.array([_set_id(s) for s in sets], pa.binary()),
                     pa.array([s.tobytes() for s in signature], pa.binary()),
                 ],
-                ["doc_id", "n", "rid", "signature"],
+                ["doc_id", "_key", "n", "rid", "signature"],
             )
 
 
@@ -241,7 +242,12 @@ def _blocks(rows: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, similarity: int = 75) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` for every row.
+    """``doc_id, n_shingles, component_id, kept`` for every row; see :func:`keyed_duplicates`."""
+    return keyed_duplicates(docs, similarity).drop("_key")
+
+
+def keyed_duplicates(docs: DataFrame, similarity: int = 75) -> DataFrame:
+    """``doc_id, _key, n_shingles, component_id, kept`` for every row.
 
     Sets are the distinct five-word shingles of whole texts (fewer words: one shingle; NULL,
     empty or blank text: no set, linked with nothing).  Texts with equal sets count as one
@@ -252,12 +258,12 @@ def near_duplicates(docs: DataFrame, similarity: int = 75) -> DataFrame:
     few; else the node branches on, at last in blocks.  Pairs are confirmed on full sets.  At a
     similarity of 0.75 a pair misses all 16 first nodes with probability 2e-10.
 
-    doc_id names a row; rows that repeat one are copies if their texts are equal and all stay.
+    doc_id and _key name a row; rows that repeat both are copies and share alike.
     A NULL doc_id gets the smallest id of its component, or NULL if there is none.  Empty
     tables give no rows; other columns are ignored.
     """
     docs = texts(docs)
-    sketches = stored(docs.mapInArrow(sketch, SKETCH))
+    sketches = stored(docs.select("doc_id", row_key("text").alias("_key"), "text").mapInArrow(sketch, SKETCH))
     reps = stored(
         sketches.where("n > 0").groupBy("rid").agg(
             F.first("n").alias("n"), F.first("signature").alias("signature"), F.min("doc_id").alias("low")
@@ -271,6 +277,7 @@ def near_duplicates(docs: DataFrame, similarity: int = 75) -> DataFrame:
     component = F.when(F.col("n") > 0, F.col("_named")).otherwise(F.col("doc_id"))
     return sketches.drop("signature").join(named, "rid", "left").select(
         "doc_id",
+        "_key",
         F.col("n").cast("long").alias("n_shingles"),
         component.alias("component_id"),
         F.col("doc_id").eqNullSafe(component).alias("kept"),

@@ -43,3 +43,14 @@ def test_stages_take_awkward_and_empty_tables(spark, awkward, nothing):
     for _, stage in corpus_pipeline.STAGES:
         for docs in (awkward, nothing):
             stage(spark, docs, SF_DIR).collect()
+
+
+def test_near_dedup_removes_single_rows_of_repeated_and_missing_ids(spark):
+    say = lambda word: " ".join(f"{word}{k}" for k in range(60))
+    a, b = say("a"), say("b")
+    near = b.replace("b30", "other")
+    stay = [(3, b), (7, a), (None, say("c")), (None, say("d")), (None, None), (8, say("e")), (8, say("e")), (None, "")]
+    gone = [(7, b), (None, near), (None, b), (8, near)]
+    docs = spark.createDataFrame(stay + gone, "doc_id long, text string").repartition(3)
+    left = Counter(tuple(r) for r in corpus_pipeline.near_dedup(spark, docs, SF_DIR).collect())
+    assert left == Counter(stay)
