@@ -12,6 +12,9 @@ from scrubline.llm.storage import stored
 
 BITS = 128
 RADIUS = 3
+#: Radius of the wide search, and its blocks: within it one of the six differs in at most one bit.
+WIDE = 11
+WIDE_BLOCKS = ((0, 22), (22, 22), (44, 21), (65, 21), (86, 21), (107, 21))
 #: Bits per block; two of the five stay equal within the radius, so ten tables find every match.
 BLOCKS = ((0, 26), (26, 26), (52, 26), (78, 25), (103, 25))
 WEIGHT = 9
@@ -122,6 +125,33 @@ def within(queries: DataFrame, prints: DataFrame, radius: int = RADIUS) -> DataF
     return q.join(p, on).select("q.low", "q.high", F.col("p.low").alias("near_low"), F.col("p.high").alias("near_high"))
 
 
+def around(queries: DataFrame, prints: DataFrame, radius: int = WIDE) -> DataFrame:
+    """``low, high, near_low, near_high, differ``: all fingerprints within ``radius`` of each query.
+
+    Every print has a row per block; every query one per block and value at most one bit away.
+    A pair is reported by the first block that differs in at most one bit, hence once.
+    ``radius`` is at most eleven, as twelve bits could differ twice in each of the six blocks.
+    """
+    if not 0 <= radius <= WIDE:
+        raise ValueError(f"radius must lie between 0 and {WIDE}")
+
+    def block_rows(rows: DataFrame, flips: bool) -> DataFrame:
+        rows, tables = rows.select("low", "high").distinct(), []
+        for k, (start, size) in enumerate(WIDE_BLOCKS):
+            masks = [0, *(1 << bit for bit in range(size) if flips)]
+            listed = F.transform(F.lit(masks).cast("array<long>"), lambda m: _block("low", "high", start, size).bitwiseXOR(m))  # noqa: B023
+            tables.append(F.struct(F.lit(k).alias("table"), listed.alias("fronts")))
+        rows = rows.select("low", "high", F.inline(F.array(*tables)))
+        return rows.select("low", "high", "table", F.explode("fronts").alias("front"))
+
+    q, p = block_rows(queries, True).alias("q"), block_rows(prints, False).alias("p")
+    close = [F.bit_count(_block("q.low", "q.high", *b).bitwiseXOR(_block("p.low", "p.high", *b))) <= 1 for b in WIDE_BLOCKS]
+    first = F.coalesce(*(F.when(c, F.lit(k)) for k, c in enumerate(close)))
+    differ = F.bit_count(F.col("q.low").bitwiseXOR(F.col("p.low"))) + F.bit_count(F.col("q.high").bitwiseXOR(F.col("p.high")))
+    on = (F.col("q.table") == F.col("p.table")) & (F.col("q.front") == F.col("p.front")) & (differ <= radius) & (first == F.col("q.table"))
+    return q.join(p, on).select("q.low", "q.high", F.col("p.low").alias("near_low"), F.col("p.high").alias("near_high"), differ.alias("differ"))
+
+
 def _tops(docs: DataFrame, key: Column) -> list[int]:
     """Greatest keys of ranges of about ``ROWS_PER_RANGE`` rows, from the highest range down.
 
@@ -161,8 +191,11 @@ def with_edits(docs: DataFrame) -> DataFrame:
     own = F.struct(F.col("_range").alias("range"), F.lit(False).alias("ghost"))
     before = F.struct(F.pmod(F.col("_range") - 1, F.lit(len(tops))).alias("range"), F.lit(True).alias("ghost"))
     is_top = F.get(listed, F.col("_range")) == F.col("_k")
-    rows = rows.select("doc_id", "text", "_k", F.inline(F.when(is_top, F.array(own, before)).otherwise(F.array(own))))
-    order = Window.partitionBy("range").orderBy("ghost", F.col("_k").desc(), F.xxhash64("text"))
+    rows = rows.select("doc_id", "text", F.inline(F.when(is_top, F.array(own, before)).otherwise(F.array(own))))
+    # Never NULL, but a later join asks for it on one side only, which would part the two uses.
+    rows = rows.where(F.col("range").isNotNull())
+    # By doc_id, so that both uses of these rows read the same columns and share one shuffle.
+    order = Window.partitionBy("range").orderBy("ghost", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
     rows = rows.select(
         "doc_id", "range", "ghost", "text", F.row_number().over(order).alias("place"), F.lead("text").over(order).alias("_next")
     )
@@ -172,14 +205,16 @@ def with_edits(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "range", "place", "ghost", n.cast("long").alias("n_chars"), "text", changed.alias("edited"))
 
 
-def likenesses(docs: DataFrame, every: int = 100, radius: int = RADIUS) -> DataFrame:
+def likenesses(docs: DataFrame, every: int = 100, radius: int = RADIUS, wide: int = WIDE) -> DataFrame:
     """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
-    n_near`` for every row.
+    n_near, n_copies, copies`` for every row.
 
     ``near_edited`` and ``near_next`` are the shares of bits equal to those of the row's
     edited text (:func:`with_edits`) and of the next row.  ``n_near`` counts the other rows
-    whose fingerprint lies within ``radius``; it is searched for rows whose doc_id is
-    divisible by ``every`` and NULL for others.  NULL text is empty; texts without words have
+    whose fingerprint lies within ``radius``, ``n_copies`` those within ``wide``, and ``copies``
+    lists the distinct fingerprints of the latter, the row's own if another row has it, in
+    order; the rows that have them are the found documents.  The three are searched for rows
+    whose doc_id is divisible by ``every`` and NULL for others.  NULL text is empty; texts without words have
     a fingerprint of zeros; equal texts have equal fingerprints; repeated rows are rows of
     their own; an empty table gives no rows; other columns are ignored.
     """
@@ -198,7 +233,7 @@ def likenesses(docs: DataFrame, every: int = 100, radius: int = RADIUS) -> DataF
     following = Window.partitionBy("range").orderBy("place")
     found = found.select("*", F.lead("low0").over(following).alias("_low"), F.lead("high0").over(following).alias("_high")).where("not ghost")
     asked = F.col("doc_id") % every == 0
-    near = _near(found.select("low0", "high0", asked.alias("asked")), radius)
+    near = _near(found.select("low0", "high0", asked.alias("asked")), radius, wide)
     joined = found.join(near, (found.low0 == near.low) & (found.high0 == near.high) & asked, "left")
     return joined.select(
         "doc_id",
@@ -209,14 +244,22 @@ def likenesses(docs: DataFrame, every: int = 100, radius: int = RADIUS) -> DataF
         likeness(("low0", "high0"), ("low1", "high1")).alias("near_edited"),
         likeness(("low0", "high0"), ("_low", "_high")).alias("near_next"),
         "n_near",
+        "n_copies",
+        "copies",
     )
 
 
-def _near(rows: DataFrame, radius: int) -> DataFrame:
-    """``low, high, n_near`` for the fingerprints of asked rows."""
+def _near(rows: DataFrame, radius: int, wide: int) -> DataFrame:
+    """``low, high, n_near, n_copies, copies`` for the fingerprints of asked rows."""
     known = rows.groupBy(F.col("low0").alias("low"), F.col("high0").alias("high")).agg(
         F.count(F.lit(1)).alias("_rows"), F.max("asked").alias("_asked")
     )
-    pairs = within(known.where("_asked"), known, radius)
+    pairs = around(known.where("_asked"), known, max(radius, wide))
     counts = known.select(F.col("low").alias("near_low"), F.col("high").alias("near_high"), "_rows")
-    return pairs.join(counts, ["near_low", "near_high"]).groupBy("low", "high").agg((F.sum("_rows") - 1).alias("n_near"))
+    near, copy = F.col("differ") <= radius, F.col("differ") <= wide
+    listed = F.when(copy & ((F.col("differ") > 0) | (F.col("_rows") > 1)), hex_of("near_low", "near_high"))
+    return pairs.join(counts, ["near_low", "near_high"]).groupBy("low", "high").agg(
+        (F.sum(F.when(near, F.col("_rows"))) - 1).alias("n_near"),
+        (F.sum(F.when(copy, F.col("_rows"))) - 1).alias("n_copies"),
+        F.sort_array(F.collect_list(listed)).alias("copies"),
+    )

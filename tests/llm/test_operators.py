@@ -149,6 +149,48 @@ def test_radius_search_is_whole(spark):
         simhash.within(frame, frame, 4)
 
 
+def test_wide_search_is_whole(spark):
+    rng = np.random.default_rng(6)
+    prints = set()
+    for _ in range(20):
+        base = int.from_bytes(rng.bytes(16), "little")
+        for flips in range(14):
+            value = base
+            for bit in rng.choice(128, flips, replace=False):
+                value ^= 1 << int(bit)
+            prints.add(tuple(v - 2**64 if v >= 2**63 else v for v in (value % 2**64, value >> 64)))
+        # Two bits in five of the blocks, one in the last.
+        value = base ^ sum(3 << start for start, _ in simhash.WIDE_BLOCKS[:-1]) ^ 1 << 127
+        prints.add(tuple(v - 2**64 if v >= 2**63 else v for v in (value % 2**64, value >> 64)))
+    frame = spark.createDataFrame(sorted(prints), "low long, high long")
+    apart = lambda p, q: sum((x % 2**64 ^ y % 2**64).bit_count() for x, y in zip(p, q))
+    for radius in (3, 11):
+        got = Counter(tuple(r) for r in simhash.around(frame, frame, radius).collect())
+        assert got == Counter((*p, *q, apart(p, q)) for p in prints for q in prints if apart(p, q) <= radius)
+    with pytest.raises(ValueError):
+        simhash.around(frame, frame, 12)
+
+
+def test_simhash_recalls_changed_copies(spark):
+    """Copies with one changed word in fifty are listed; the found rows are named by fingerprint."""
+    rng = np.random.default_rng(7)
+    say = lambda: "".join(rng.choice(list("abcdefghiklmnoprstu"), rng.integers(2, 10)))
+    rows = []
+    for k in range(0, 4000, 100):
+        words = [say() for _ in range(200)]
+        rows.append((k, " ".join(words)))
+        for place in rng.choice(200, 4, replace=False):
+            words[place] = say()
+        rows.append((k + 1, " ".join(words)))
+    rows.append((5, rows[0][1]))
+    got = by_id(simhash.likenesses(spark.createDataFrame(rows, "doc_id long, text string")))
+    for k in range(0, 4000, 100):
+        near = [d for d, g in got.items() if d != k and likeness(got[k].fingerprint, g.fingerprint) >= 1 - 11 / 128]
+        assert got[k].n_copies == len(near) and got[k].copies == sorted({got[d].fingerprint for d in near})
+    assert got[1].n_copies is None and got[1].copies is None and got[0].fingerprint in got[0].copies
+    assert np.mean([got[k + 1].fingerprint in got[k].copies for k in range(0, 4000, 100)]) >= 0.9
+
+
 # 3: near-duplicates
 
 
