@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import __spark_entry__ as driver
-from conftest import SF_DIR, awkward_rows, words_of
+from awkward_tables import SF_DIR, awkward_rows, words_of
 from scrubline.llm import chat, decontamination, licenses, mixing, near_dedup, sharding, simhash, token_counts, token_store, toxicity
 from scrubline.llm.components import components
 from scrubline.llm.storage import placed, scratch, without

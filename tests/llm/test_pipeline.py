@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections import Counter
 
 import corpus_pipeline
-from conftest import SF_DIR
+from awkward_tables import SF_DIR
 from scrubline.llm import toxicity
 from scrubline.llm.storage import scratch
-from test_operators import brute_components, brute_hits, check_shards
+from test_llm_operators import brute_components, brute_hits, check_shards
 
 
 def test_stages(spark):

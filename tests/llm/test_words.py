@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from conftest import words_of
+from awkward_tables import words_of
 from scrubline.llm import textscan
 from scrubline.llm.tokenizing import units
 
