@@ -67,3 +67,12 @@ select conv_id, count(*) as n_turns,
   cast(sum(32 + length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")})) as bigint) as formatted_chars
 from t group by conv_id
 """
+
+EXACT_DEDUP = r"""
+with t as (
+  select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as plain from documents
+)
+select doc_id, min(doc_id) over (partition by plain) as keep_id, count(*) over (partition by plain) as group_size,
+  doc_id = min(doc_id) over (partition by plain) as kept, sha256(plain) as text_sha256
+from t
+"""

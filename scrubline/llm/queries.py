@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrubline.llm import chat, decontamination, licenses, mixing, near_dedup, oracles, sharding, simhash, token_counts, token_store, toxicity
+from scrubline.llm import chat, decontamination, exact_dedup, licenses, mixing, near_dedup, oracles, sharding, simhash, token_counts, token_store, toxicity
 from scrubline.llm.storage import scratch, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,10 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_back(payload, token_store.look_up(index, token_store.keys_of(docs)))
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_simhash": op2_simhash,
@@ -82,10 +86,12 @@ QUERIES: dict[str, Query] = {
     "op8_sharding": op8_sharding,
     "op9_toxicity": op9_toxicity,
     "op10_token_store": op10_token_store,
+    "op11_exact_dedup": op11_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op3_near_dedup": oracles.NEAR_DEDUP,
     "op5_chat_format": oracles.CHAT_FORMAT,
     "op6_decontamination": oracles.DECONTAMINATION,
+    "op11_exact_dedup": oracles.EXACT_DEDUP,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -15,7 +16,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as driver
 from awkward_tables import SF_DIR, awkward_rows, words_of
-from scrubline.llm import chat, decontamination, licenses, mixing, near_dedup, sharding, simhash, token_counts, token_store, toxicity
+from scrubline.llm import chat, decontamination, exact_dedup, licenses, mixing, near_dedup, sharding, simhash, token_counts, token_store, toxicity
 from scrubline.llm.components import components
 from scrubline.llm.storage import placed, scratch, without
 
@@ -562,3 +563,61 @@ def test_perfect_hash_is_minimal(spark):
     levels, slots = token_store._levels(ids, copies)
     assert sorted(slots) == list(range(5000))
     assert token_store._slots(levels, ids, copies).tolist() == slots.tolist()
+
+
+# 11: exact dedup
+
+
+def plain(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def check_groups(rows, got):
+    groups = {}
+    for doc_id, text in rows:
+        groups.setdefault(plain(text), []).append(doc_id)
+    expected, kept = Counter(), Counter()
+    for text, ids in groups.items():
+        low = min((i for i in ids if i is not None), default=None)
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        kept[digest, low] += 1
+        for doc_id in ids:
+            expected[doc_id, low, len(ids), digest] += 1
+    assert Counter((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in got) == expected
+    assert Counter((r["text_sha256"], r["doc_id"]) for r in got if r["kept"]) == kept
+
+
+@pytest.mark.parametrize("bits", [64, 12])
+def test_exact_dedup(spark, awkward, nothing, documents, bits):
+    rows = [(r["doc_id"], r["text"]) for r in documents]
+    check_groups(rows, exact_dedup.exact_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), bits).collect())
+    check_groups([r[:2] for r in awkward_rows()], exact_dedup.exact_duplicates(awkward, bits).collect())
+    assert exact_dedup.exact_duplicates(nothing, bits).collect() == []
+
+
+def test_chunks_share_passages_and_give_the_text_back(spark):
+    rng = np.random.default_rng(5)
+    say = lambda n: " ".join("w%d" % k for k in rng.integers(0, 5000, n))
+    passage = say(2000)
+    rows = [(0, passage), (1, f"{say(301)} {passage}"), (2, "x" * 5000), (3, ""), (4, " \n "), (5, "word " * 5000), (6, passage.replace(" ", "\n\t"))]
+    parts = exact_dedup.recipes(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = by_id(parts)
+    assert all("".join(found[k]["chunks"]) == plain(t) for k, t in rows)
+    assert found[0]["ids"] == found[6]["ids"] and found[3]["ids"] == [] != found[4]["ids"]
+    assert len(set(found[0]["ids"]) & set(found[1]["ids"])) >= len(found[0]["ids"]) - 2 > 8
+    store = exact_dedup.chunk_store(parts).collect()
+    assert sum(r["uses"] for r in store) == sum(len(r["ids"]) for r in found.values())
+    assert max(r["uses"] for r in store) > 15 and len({r["chunk"] for r in store}) == len(store)
+
+
+def test_recipes_of_colliding_chunks_stay_apart(spark):
+    rows = [(k, f"text number {k % 40}") for k in range(120)]
+    parts = exact_dedup.recipes(spark.createDataFrame(rows, "doc_id long, text string"), 3)
+    assert len({tuple(r["ids"]) for r in parts.collect()}) <= 8
+    assert len({(tuple(r["ids"]), r["fixes"]) for r in parts.collect()}) == 40
+
+
+def test_exact_dedup_runs_no_python(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    plan = exact_dedup.exact_duplicates(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
