@@ -76,3 +76,65 @@ select doc_id, min(doc_id) over (partition by plain) as keep_id, count(*) over (
   doc_id = min(doc_id) over (partition by plain) as kept, sha256(plain) as text_sha256
 from t
 """
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+RANKED_SEARCH = rf"""
+with d as (select doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}') as ws from documents),
+totals as (select count(*) as texts, cast(sum(len(ws)) as bigint) as length from d where len(ws) > 0),
+lengths as (select doc_id, 25 + 75 * len(ws) * texts // length as m from d, totals where len(ws) > 0),
+tf as (select doc_id, t, count(*) as tf from (select doc_id, unnest(ws) as t from d) group by doc_id, t),
+weights as (
+  select t, cast(floor(1000 * ln((2 * any_value(texts) + 2) / (2 * count(*) + 1))) as bigint) as w from tf, totals group by t
+),
+asked as (
+  select item_id, t, count(*) as times from (
+    select item_id, unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_TERM}')) as t from benchmark
+  ) group by item_id, t
+),
+scores as (
+  select item_id, doc_id, cast(sum(times * w * (1000000000 * tf // (1000 * tf + 8 * m))) as bigint) as score
+  from asked join weights using (t) join tf using (t) join lengths using (doc_id) group by item_id, doc_id
+),
+ranked as (
+  select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score
+  from scores where score > 0
+)
+select * from ranked where rank <= 10
+"""
+
+
+def _round(k: int) -> str:
+    """Nearest entries of codebooks ``b{k}``, and the codebooks that follow from them."""
+    return f"""
+apart{k} as (
+  select v.vec_id, v.p, b.e, sum((v.x - b.x) * (v.x - b.x)) as d from parts v join b{k} b on v.p = b.p and v.i = b.i
+  group by v.vec_id, v.p, b.e
+),
+near{k} as (select vec_id, p, min(d) as d, arg_min(e, (d, e)) as e from apart{k} group by vec_id, p),
+means{k} as (
+  select v.p, n.e, v.i, cast(floor(sum(v.x) / count(*)) as bigint) as x
+  from parts v join near{k} n on v.vec_id = n.vec_id and v.p = n.p group by v.p, n.e, v.i
+),
+b{k + 1} as (select b.p, b.e, b.i, coalesce(m.x, b.x) as x from b{k} b left join means{k} m on b.p = m.p and b.e = m.e and b.i = m.i),
+"""
+
+
+VECTOR_CODES = f"""
+with usable as (
+  select vec_id, embedding as v, label from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+flat as (select vec_id, unnest(v) as x, generate_subscripts(v, 1) - 1 as at, len(v) // 16 as part from usable),
+parts as (select vec_id, at // part as p, at % part as i, cast(floor(256 * cast(x as double)) as bigint) as x from flat),
+b0 as (
+  select p, e, i, x from parts join (select vec_id, row_number() over (order by vec_id) - 1 as e from usable) using (vec_id) where e < 64
+),
+{_round(0)} {_round(1)} {_round(2)}
+coded as (
+  select vec_id, string_agg(printf('%02x', cast(e as integer)), '' order by p) as code, cast(sum(d) as bigint) as error from near2 group by vec_id
+),
+book as (select sha256(string_agg(cast(x as varchar), ',' order by p, e, i)) as s from b2)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, s as codebooks_sha256
+from coded join usable using (vec_id), book
+"""

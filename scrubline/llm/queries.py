@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from scrubline.llm import chat, decontamination, exact_dedup, licenses, mixing, near_dedup, oracles, sharding, simhash, token_counts, token_store, toxicity
+from scrubline.llm import chat, decontamination, exact_dedup, licenses, mixing, near_dedup, oracles, ranked_search, sharding, simhash, token_counts, token_store, toxicity, vector_codes
 from scrubline.llm.storage import scratch, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,14 @@ def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_simhash": op2_simhash,
@@ -87,6 +95,8 @@ QUERIES: dict[str, Query] = {
     "op9_toxicity": op9_toxicity,
     "op10_token_store": op10_token_store,
     "op11_exact_dedup": op11_exact_dedup,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 ORACLES: dict[str, str] = {
@@ -94,4 +104,6 @@ ORACLES: dict[str, str] = {
     "op5_chat_format": oracles.CHAT_FORMAT,
     "op6_decontamination": oracles.DECONTAMINATION,
     "op11_exact_dedup": oracles.EXACT_DEDUP,
+    "op12_ranked_search": oracles.RANKED_SEARCH,
+    "op13_vector_codes": oracles.VECTOR_CODES,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
@@ -16,7 +17,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as driver
 from awkward_tables import SF_DIR, awkward_rows, words_of
-from scrubline.llm import chat, decontamination, exact_dedup, licenses, mixing, near_dedup, sharding, simhash, token_counts, token_store, toxicity
+from scrubline.llm import chat, decontamination, exact_dedup, licenses, mixing, near_dedup, ranked_search, sharding, simhash, token_counts, token_store, toxicity, vector_codes
 from scrubline.llm.components import components
 from scrubline.llm.storage import placed, scratch, without
 
@@ -621,3 +622,142 @@ def test_exact_dedup_runs_no_python(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     plan = exact_dedup.exact_duplicates(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+# 12: ranked search
+
+
+def brute_search(rows, items, best=10):
+    terms = [(i, re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower(t))) for i, t in rows]
+    terms = [(i, Counter(t), len(t)) for i, t in terms if t]
+    total, length = len(terms), sum(n for *_, n in terms)
+    df = Counter(t for _, c, _ in terms for t in c)
+    out = Counter()
+    for item, text in set(items):
+        asked = Counter(re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower(text)))
+        scores = []
+        for doc, tf, n in terms:
+            m = 100 - 75 + 75 * n * total // length
+            score = sum(
+                k * math.floor(1000 * math.log((2 * total + 2) / (2 * df[t] + 1))) * (1000000000 * tf[t] // (1000 * tf[t] + 8 * m))
+                for t, k in asked.items() if t in tf
+            )
+            if score > 0:
+                scores.append((-score, doc is None, doc or 0, doc))
+        for rank, (score, _, _, doc) in enumerate(sorted(scores)[:best], 1):
+            out[item, rank, doc, -score] += 1
+    return out
+
+
+def lower(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+
+
+def test_ranked_search(spark, awkward, nothing, documents, monkeypatch):
+    rows = [(r["doc_id"], r["text"]) for r in documents]
+    items = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").select("item_id", "text").collect()]
+    items += [(None, items[0][1]), (None, None), (900, ""), (901, "word word WORD"), (901, "other word"), items[1], (902, items[2][1] * 3)]
+    asked = spark.createDataFrame(items, "item_id long, text string").withColumn("number", F.lit(1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    found = lambda d, q: Counter(tuple(r) for r in ranked_search.ranked_search(d, q).collect())
+    assert found(docs, asked) == brute_search(rows, items)
+    monkeypatch.setattr(ranked_search, "TERMS_PER_PASS", 100)
+    monkeypatch.setattr(ranked_search, "CELLS", 5000)
+    assert found(docs, asked) == brute_search(rows, items)
+    rows = [r[:2] for r in awkward_rows()]
+    items = [(k, t) for k, (_, t) in enumerate(rows) if t is None or len(t) < 1000]
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    assert found(awkward, asked) == brute_search(rows, items)
+    assert not found(nothing, asked) and not found(awkward, asked.where("false")) and not found(nothing, nothing.withColumnRenamed("doc_id", "item_id"))
+
+
+def test_shared_sets_are_summed_once():
+    rng = np.random.default_rng(2)
+    common = rng.choice(10**6, 30, replace=False)
+    items = []
+    for k in range(60):
+        own = rng.choice(10**6, rng.integers(0, 8), replace=False)
+        few = common[rng.random(30) < 0.8]
+        items.append((k * 3, {int(t): int(rng.integers(1, 3)) if t in own else 1 + int(t) % 2 for t in {*few.tolist(), *own.tolist()}}))
+    plan = ranked_search.shared_plan(items)
+    value = {int(t): rng.integers(0, 1000, 4) for t in plan.terms}
+    of_class = np.zeros((plan.class_of.max() + 1, 4), np.int64)
+    np.add.at(of_class, plan.class_of, np.array([value[int(t)] for t in plan.terms]))
+    sets = plan.partial_scores(of_class)
+    for (number, times), (found, parts) in zip(items, plan.parts):
+        assert number == found and (sets[parts].sum(axis=0) == sum(n * value[t] for t, n in times.items())).all()
+    assert plan.additions() < 0.6 * sum(len(t) - 1 for _, t in items)
+    assert ranked_search.shared_plan([]).parts == []
+
+
+def test_length_weight_is_whole_beyond_64_bits():
+    n = np.array([0, 5, 10**9])
+    assert ranked_search.length_weight(n, 10**11, 10**13).tolist() == [25 + 75 * int(k) * 10**11 // 10**13 for k in n]
+
+
+# 13: vector codes
+
+
+def brute_codes(rows):
+    """Every entry compared with every part, in Python integers."""
+    rows = [r for r in rows if r[1] is not None and all(x is not None and math.isfinite(x) for x in r[1])]
+    part = -(-max((len(r[1]) for r in rows), default=1) // 16) or 1
+    top = vector_codes.largest(part)
+    cut = []
+    for _, vector, _ in rows:
+        x = [max(-top, min(top, math.floor(256 * max(-1e300, min(1e300, c))))) for c in vector]
+        x += [0] * (16 * part - len(x))
+        cut.append([tuple(x[p * part : (p + 1) * part]) for p in range(16)])
+    first = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, rows[k][1]))[:64]
+    books = [[cut[k][p] for k in first] for p in range(16)]
+    apart = lambda a, b: sum((x - y) ** 2 for x, y in zip(a, b))
+    near = lambda x, p: min((apart(x, e), k) for k, e in enumerate(books[p]))
+    for _ in range(2):
+        new = []
+        for p in range(16):
+            members = {}
+            for row in cut:
+                members.setdefault(near(row[p], p)[1], []).append(row[p])
+            new.append([tuple(sum(c) // len(c) for c in zip(*members[e])) if e in members else old for e, old in enumerate(books[p])])
+        books = new
+    found = [[near(row[p], p) for p in range(16)] for row in cut]
+    errors = [sum(d for d, _ in f) for f in found]
+    by_label = Counter()
+    for (*_, label), error in zip(rows, errors):
+        by_label[label] += error
+    sha = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    return Counter(
+        (r[0], "".join("%02x" % e for _, e in f), error, by_label[r[2]], sha) for r, f, error in zip(rows, found, errors)
+    )
+
+
+VECTORS = "vec_id long, embedding array<float>, label int"
+
+
+def test_vector_codes(spark):
+    coded = lambda rows, kind=VECTORS: Counter(
+        tuple(r) for r in vector_codes.vector_codes(spark.createDataFrame(rows, kind).repartition(3).withColumn("_n", F.lit(1))).collect()
+    )
+    given = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/embeddings.parquet").select("vec_id", "embedding", "label").collect()]
+    assert coded(given) == brute_codes(given)
+    rng = np.random.default_rng(3)
+    vector = lambda n=32, scale=1.0: [float(np.float32(x)) for x in rng.normal(0, scale, n)]
+    rows = [(k, vector(), k % 3 or None) for k in range(90)] + [(200 + k, [0.5] * 32, 9) for k in range(80)]
+    rows += [(300, None, 1), (301, [None] * 32, 1), (302, [float("nan")] * 32, 2), (303, [float("inf")] + [0.0] * 31, 1), (304, [], 1)]
+    rows += [(None, vector(), 4), (None, vector(), 4), (5, vector(), 1), (305, vector(7), 1), (306, vector(32, 1e30), 7), (-1, vector(), 1), rows[0], rows[0]]
+    assert coded(rows) == brute_codes(rows)
+    few = [(k, [float(k % 3)] * 16, None) for k in range(9)]
+    assert coded(few, "vec_id long, embedding array<double>, label string") == brute_codes(few)
+    assert coded([(1, [], 1)]) == brute_codes([(1, [], 1)])
+    assert not coded([]) and not coded([(1, None, 2)])
+
+
+@pytest.mark.parametrize("spread", [2, 9, 400, 10**7])
+def test_orchard_finds_the_nearest_with_few_looks(spread, monkeypatch):
+    rng = np.random.default_rng(spread)
+    entries, points = (rng.integers(-spread, spread, (n, 4)) for n in (64, 3000))
+    best, distance = vector_codes.Orchard(entries).nearest(points)
+    apart = ((points[:, None, :] - entries[None, :, :]) ** 2).sum(axis=2)
+    assert (best == apart.argmin(axis=1)).all() and (distance == apart.min(axis=1)).all()
+    one = vector_codes.Orchard(entries[:1]).nearest(points)
+    assert (one[0] == 0).all() and (one[1] == apart[:, 0]).all()
