@@ -125,8 +125,8 @@ with usable as (
   select vec_id, embedding as v, label from embeddings
   where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ),
-flat as (select vec_id, unnest(v) as x, generate_subscripts(v, 1) - 1 as at, len(v) // 16 as part from usable),
-parts as (select vec_id, at // part as p, at % part as i, cast(floor(256 * cast(x as double)) as bigint) as x from flat),
+flat as (select vec_id, unnest(v) as x, generate_subscripts(v, 1) - 1 as k, len(v) // 16 as part from usable),
+parts as (select vec_id, k // part as p, k % part as i, cast(floor(256 * cast(x as double)) as bigint) as x from flat),
 b0 as (
   select p, e, i, x from parts join (select vec_id, row_number() over (order by vec_id) - 1 as e from usable) using (vec_id) where e < 64
 ),
