@@ -353,15 +353,41 @@ O["row_status"] = sql(
         "log <> ''",
     ),
 )
-O["excluded_records"] = sql(
-    "menu_raw dish_raw item_clean on_page stg_dish page_clean stg_menu",
-    f"""select 'menu_item' as "table", id as row_key, 'no_dish_id_and_no_price' as reason from item_clean where omit
-  union all select 'menu_page', id, 'IND-1' from page_clean where not exists (select 1 from stg_menu m where m.id = menu_id)
-  union all select 'menu_item', id, 'IND-2' from stg_item where not exists (select 1 from ld_page p where p.id = menu_page_id)
-  union all select 'menu_item', id, 'IND-3' from on_page where not exists (select 1 from stg_dish d where d.id = dish_id)
-  union all select 'menu', cast(id as bigint), 'scope:' || case when currency <> 'Dollars' then 'currency' when status <> 'complete' then 'status' when trim(date) = '' then 'date' else 'year' end
-    from menu_raw where not ({IN_SCOPE})
-  union all select 'dish', cast(id as bigint), 'scope:price' from dish_raw where trim(lowest_price) = '' and trim(highest_price) = ''""",
+def lost(table: str, rule: str, source: str, where: str, iteration: int = 0, kept: str = "null") -> str:
+    """Rows of the derived tables, whose row number is their key."""
+    file = f"'{table}.csv'" if kept != "null" else "null"
+    return f"""select '{table}' as "table", '{table}.csv' as source_file, cast({source}.id as bigint) as source_row_num, cast({source}.id as varchar) as row_key, {rule} as rule,
+    {iteration} as iteration, cast({file} as varchar) as kept_source_file, cast({kept} as bigint) as kept_source_row_num from {where}"""
+
+
+IN_GROUP = "rep_item_z join rep_item_g g on rep_item_z.menu_page_id = g.menu_page_id and rep_item_z.dish_id = g.dish_id"
+EXCLUDED = "excluded as (" + "\nunion all ".join(
+    (
+        lost("menu", "'scope:' || case when currency <> 'Dollars' then 'currency' when status <> 'complete' then 'status' when trim(date) = '' then 'date' else 'year' end", "menu_raw", f"menu_raw where not ({IN_SCOPE})"),
+        lost("dish", "'scope:price'", "dish_raw", "dish_raw where trim(lowest_price) = '' and trim(highest_price) = ''"),
+        lost("menu_item", "'no_dish_id_and_no_price'", "item_clean", "item_clean where omit"),
+        lost("menu_page", "'IND-1'", "page_clean", "page_clean where not exists (select 1 from stg_menu m where m.id = menu_id)"),
+        lost("menu_item", "'IND-2'", "stg_item", "stg_item where not exists (select 1 from ld_page p where p.id = menu_page_id)"),
+        lost("menu_item", "'IND-3'", "on_page", "on_page where not exists (select 1 from stg_dish d where d.id = dish_id)"),
+        lost("menu_item", "'D3'", "ld_item", "ld_item where price = 0 and high_price = 0", 1),
+        lost("menu_item", "'D4'", "rep_item_z", f"{IN_GROUP} where g.n > 1 and rep_item_z.id <> g.keep_id", 1, "g.keep_id"),
+        lost("menu_item", "'D5'", "rep_item_z", f"{IN_GROUP} where g.n = 1 and rep_item_z.price is null", 1),
+        lost("menu_item", "'price_too_large'", "rep_item", "rep_item where price >= 1e16", 1),
+    )
+) + ")"
+LEDGER = "menu_raw dish_raw item_clean on_page stg_dish page_clean stg_menu rep_item"
+O["excluded_records"] = sql(LEDGER, "select * from excluded", EXCLUDED)
+O["row_accounting"] = sql(
+    LEDGER,
+    """select t as "table", given as input_rows, kept as kept_rows, excluded as excluded_rows, merged as merged_rows, given - kept - excluded as lost_rows,
+    0 as doubled_rows, 0 as stray_rows, given = kept + excluded as balanced
+  from (select t, given, kept, (select count(*) from excluded e where e."table" = t) as excluded,
+      (select count(kept_source_row_num) from excluded e where e."table" = t) as merged
+    from (select 'menu' as t, (select count(*) from menu_raw) as given, (select count(*) from stg_menu) as kept
+      union all select 'menu_page', (select count(*) from page_raw), (select count(*) from ld_page)
+      union all select 'menu_item', (select count(*) from item_raw), (select count(*) from rep_item where price is null or price < 1e16)
+      union all select 'dish', (select count(*) from dish_raw), (select count(*) from stg_dish)))""",
+    EXCLUDED,
 )
 
 # --- scope and profile ------------------------------------------------------
@@ -547,7 +573,37 @@ def metrics(i: int, items: str) -> str:
   from {items} i join ld_page p on p.id = i.menu_page_id join stg_dish d on d.id = i.dish_id where i.price > 0"""
 
 
-O["iteration_metrics"] = sql("rep_item ld_page stg_dish", metrics(0, "ld_item") + "\nunion all " + metrics(1, "rep_item"), COUNTS)
+O["iteration_metrics"] = sql(
+    "rep_item ld_page stg_dish",
+    """select *, ic_violations + ind_violations + fd_violations as violations_remaining,
+    cast(case when iteration = 1 then (select count(*) from rep_item r join ld_item l on l.id = r.id left join rep_item_g g on g.menu_page_id = l.menu_page_id and g.dish_id = l.dish_id
+      where l.price = 0 or g.n > 1) else 0 end as bigint) as rows_repaired,
+    cast(case when iteration = 1 then (select count(*) from ld_item) - (select count(*) from rep_item) else 0 end as bigint) as rows_excluded,
+    ic_violations + ind_violations + fd_violations - lag(ic_violations + ind_violations + fd_violations) over (order by iteration) as change_in_violations,
+    eligible_items - lag(eligible_items) over (order by iteration) as change_in_eligible_items,
+    eligible_menus - lag(eligible_menus) over (order by iteration) as change_in_eligible_menus from (%s)"""
+    % (metrics(0, "ld_item") + "\nunion all " + metrics(1, "rep_item")),
+    COUNTS,
+)
+STATEMENTS = [(f"IC-{n}", NAMES[s], text) for n, s, _, text, _ in IC] + [
+    ("IND-1", "menu_page", "menu_page.menu_id must exist in menu.id"),
+    ("IND-2", "menu_item", "menu_item.menu_page_id must exist in menu_page.id"),
+    ("IND-3", "menu_item", "menu_item.dish_id must exist in dish.id"),
+    ("FD-1", "menu", "id -> currency, year, month, day"),
+    ("FD-2", "menu_page", "id -> menu_id"),
+    ("FD-3", "menu_item", "id -> menu_page_id, price, high_price, dish_id"),
+    ("FD-4", "menu_item", "menu_page_id, dish_id -> price"),
+    ("FD-5", "dish", "id -> name, lowest_price, highest_price"),
+]
+O["validation_report"] = sql(
+    "rep_item",
+    """select family, rule_id, source_table, statement, b as before_repair, a as after_repair, b - a as resolved,
+    case when a + b = 0 then 'holds' when a = 0 then 'resolved' when a < b then 'reduced' else 'accepted' end as outcome
+  from (select family, rule_id, cast(sum(violations) filter (where iteration = 0) as bigint) as b, cast(sum(violations) filter (where iteration = 1) as bigint) as a from counts group by 1, 2)
+  join (values %s) v(rule_id, source_table, statement) using (rule_id)"""
+    % ", ".join(f"({lit(r)}, {lit(t)}, {lit(x)})" for r, t, x in STATEMENTS),
+    COUNTS,
+)
 
 # --- repair, final tables, analysis -----------------------------------------
 O["ic8_repair"] = sql("stg_item", "select * from r_z", repaired("r", "stg_item"))

@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 
 from scrubline.plans import run
 from scrubline.sources.sinks import collect_log
-from scrubline.sources.text import ShapeError, is_header_error
+from scrubline.sources.text import LINE_BREAKS, ShapeError, is_header_error
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -22,7 +22,10 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--format", default="parquet", choices=("csv", "parquet"))
     parser.add_argument("--no-snapshots", action="store_true")
     parser.add_argument("--ordered", action="store_true", help="snapshots and change logs in source row order")
-    parser.add_argument("--multiline", action="store_true", help="inputs have line breaks inside quotes")
+    parser.add_argument(
+        "--line-breaks", default="auto", choices=LINE_BREAKS,
+        help="inside quotes: find such files and read each in one task, do so with every file, or refuse them",
+    )
     args = parser.parse_args(argv)
 
     tables = args.tables or list(run.TABLES)
@@ -34,7 +37,7 @@ def main(argv: list[str] | None = None) -> int:
     sources = {t: f"{args.input}/{t}.csv" for t in tables}
     try:
         traces = run.clean_all(
-            spark, sources, args.output, args.format, not args.no_snapshots, args.ordered, args.multiline
+            spark, sources, args.output, args.format, not args.no_snapshots, args.ordered, args.line_breaks
         )
     except (AnalysisException, ShapeError) as error:
         print(str(error).splitlines()[0])

@@ -45,8 +45,9 @@ def _warnings(trace: Trace) -> list[tuple[Column, str]]:
     return found
 
 
-def row_status(trace: Trace) -> DataFrame:
-    """``cleaning_status``, ``warning_reason`` and ``exclusion_reason`` per row.
+def judged_rows(trace: Trace) -> DataFrame:
+    """Every row with its final values, its provenance, ``cleaning_status``, ``warning_reason`` and
+    ``exclusion_reason``.
 
     Reasons are ``column:reason`` tags joined by ``;``.  Excluded beats warning, warning
     beats cleaned; a row is cleaned if any operation other than dropping a column changed it.
@@ -56,24 +57,29 @@ def row_status(trace: Trace) -> DataFrame:
     excluded = F.lit(None).cast("string")
     if trace.omit:
         excluded = F.when(F.col(trace.omit), Reason.NO_DISH_ID_AND_NO_PRICE)
-    id_column = F.col(trace.layouts[-1]["id"])
-    changed = F.regexp_replace("log", r"[a-z_]+:column_dropped;?", "") != ""
-    return trace.df.select(
-        F.lit(trace.table).alias("table"),
+    values = [F.col(path).alias(name) for name, path in trace.layouts[-1].items()]
+    changed = F.regexp_replace(V.LOG, r"[a-z_]+:column_dropped;?", "") != ""
+    named = trace.df.select(
+        *values,
+        F.col(V.SOURCE_FILE),
         F.col(V.SOURCE_ROW),
-        id_column.alias("id"),
-        trace.log().alias("log"),
+        trace.log().alias(V.LOG),
         warning.alias("warning_reason"),
         excluded.alias("exclusion_reason"),
-    ).select(
-        "table",
-        V.SOURCE_ROW,
-        "id",
+    )
+    status = (
         F.when(F.col("exclusion_reason").isNotNull(), Status.EXCLUDED)
         .when(F.col("warning_reason").isNotNull(), Status.WARNING)
         .when(changed, Status.CLEANED)
         .otherwise(Status.OK)
-        .alias("cleaning_status"),
-        "warning_reason",
-        "exclusion_reason",
+    )
+    return named.select(
+        *trace.layouts[-1], V.SOURCE_FILE, V.SOURCE_ROW, status.alias("cleaning_status"), "warning_reason", "exclusion_reason"
+    )
+
+
+def row_status(trace: Trace) -> DataFrame:
+    """The verdict on every row; see :func:`judged_rows`."""
+    return judged_rows(trace).select(
+        F.lit(trace.table).alias("table"), V.SOURCE_ROW, "id", "cleaning_status", "warning_reason", "exclusion_reason"
     )

@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from scrubline import vocab as V
 from scrubline.functions import CURRENCY, DATE, DECIMAL, INT, NAME, TEXT, keys
 from scrubline.functions.unicode import fold_accents
-from scrubline.operators import checks, clusters, pricing, profile, quantiles, repair
+from scrubline.operators import accounting, checks, clusters, pricing, profile, quantiles, repair
 from scrubline.operators.stages import Trace
 from scrubline.operators.status import row_status
-from scrubline.plans import cleaning, staging, validation
+from scrubline.plans import cleaning, passes, staging, validation
 from scrubline.plans.staging import Tables
 from scrubline.sources import fixtures
 from scrubline.sources.text import stamp_rows
@@ -44,6 +44,7 @@ class Menus:
         self.spark, self.sf_dir = spark, sf_dir
         self.work = Workspace(spark)
         self._traces: dict[tuple[str, bool], Trace] = {}
+        self._passes: list[passes.Pass] = []
 
     def base(self, table: str) -> DataFrame:
         return fixtures.base(self.spark, self.sf_dir, table)
@@ -73,24 +74,60 @@ class Menus:
         """Typed tables before the load."""
         return {t: staging.typed(t, self.trace(t, scoped).cleaned()) for t in TABLES}
 
+    def staged_rows(self) -> Tables:
+        """Typed tables before the load, with provenance."""
+        return {t: staging.traced(t, self.trace(t, True).snapshot(rows="kept")) for t in TABLES}
+
+    def loaded_rows(self) -> Tables:
+        return {t: self.work.table(f"loaded_{t}", lambda t=t: staging.load(self.staged_rows())[t]) for t in TABLES}
+
     def loaded(self) -> Tables:
-        return {t: self.work.table(f"loaded_{t}", lambda t=t: staging.load(self.staged())[t]) for t in TABLES}
+        return passes.data(self.loaded_rows())
+
+    def passes(self) -> list[passes.Pass]:
+        """Checks and repairs of the loaded tables until nothing changes."""
+        if not self._passes:
+            self._passes = passes.repair_passes(self.loaded_rows(), lambda df, name: self.work.table(name, lambda: df))
+        return self._passes
 
     def repaired(self) -> Tables:
-        loaded = self.loaded()
-        items = self.work.table("repaired_items", lambda: repair.repair_items(loaded["menu_item"]))
-        return {**loaded, "menu_item": items}
+        return passes.data(self.passes()[-1].tables)
 
     def rule_counts(self) -> DataFrame:
-        def both() -> DataFrame:
-            passes = enumerate((self.loaded(), self.repaired()))
-            return union([validation.rule_counts(tables, i) for i, tables in passes])
+        return passes.all_counts(self.passes())
+
+    def excluded(self) -> DataFrame:
+        """Every source row that is in none of the final tables, with the rule that removed it."""
+        return self.work.table("excluded_records", lambda: union([*self._excluded_before(), *self._excluded_after()]))
+
+    def _excluded_before(self) -> list[DataFrame]:
+        menus, dishes = (fixtures.stamped(self.raw(t), t) for t in ("menu", "dish"))
+        scope = cleaning.scope_predicates()
+        failed = F.concat(F.lit("scope:"), F.coalesce(*(F.when(~p, n) for n, p in scope[1:])))
+        found = [
+            accounting.excluded(menus.where(~scope[-1][1]), "menu", failed),
+            accounting.excluded(dishes.where(~cleaning.has_price_cell()), "dish", "scope:price"),
+            accounting.excluded(
+                self.trace("menu_item").snapshot(rows="omitted"), "menu_item", V.Reason.NO_DISH_ID_AND_NO_PRICE
+            ),
+        ]
+        for rule, rows in staging.ind_results(self.staged_rows()).items():
+            found.append(accounting.excluded(rows, "menu_page" if rule == "IND-1" else "menu_item", rule))
+        return found
 
-        return self.work.table("rule_counts", both)
+    def _excluded_after(self) -> list[DataFrame]:
+        last = self.passes()[-1]
+        large = staging.too_large(last.tables["menu_item"], "price")
+        return [*passes.excluded_in(self.passes()), accounting.excluded(large, "menu_item", V.Reason.PRICE_TOO_LARGE, last.number)]
+
+    def kept(self) -> Tables:
+        """The rows that the final tables are made of, with provenance."""
+        tables = self.passes()[-1].tables
+        return {**tables, "menu_item": staging.fitting(tables["menu_item"], "price")}
 
     def prepare(self) -> None:
         """Write every phase that queries share."""
-        self.traces(), self.traces(scoped=True), self.repaired(), self.rule_counts()
+        self.traces(), self.traces(scoped=True), self.passes()
 
     def priced(self) -> DataFrame:
         tables = self.staged()
@@ -285,24 +322,12 @@ def _(m):
 
 @query("excluded_records")
 def _(m):
-    """Everything removed on the way to the load, with the rule that removed it."""
-    omitted = m.trace("menu_item").snapshot(rows="omitted").select(
-        F.lit("menu_item").alias("table"), F.col("id").alias("row_key"), F.lit("no_dish_id_and_no_price").alias("reason")
-    )
-    found = staging.ind_results(m.staged())
-    orphans = [
-        rows.select(F.lit("menu_page" if rule == "IND-1" else "menu_item").alias("table"), F.col("id").alias("row_key"), F.lit(rule).alias("reason"))
-        for rule, rows in found.items()
-    ]
-    menu = cleaning.scope_predicates()
-    failed = F.coalesce(*(F.when(~p, n) for n, p in menu[1:]))
-    out_of_scope = m.raw("menu").where(~menu[-1][1]).select(
-        F.lit("menu").alias("table"), F.col("id").cast("bigint").alias("row_key"), F.concat(F.lit("scope:"), failed).alias("reason")
-    )
-    dishes = m.raw("dish").where(~cleaning.has_price_cell()).select(
-        F.lit("dish").alias("table"), F.col("id").cast("bigint").alias("row_key"), F.lit("scope:price").alias("reason")
-    )
-    return union([omitted, *orphans, out_of_scope, dishes])
+    return m.excluded()
+
+
+@query("row_accounting")
+def _(m):
+    return accounting.row_accounting({t: fixtures.stamped(m.raw(t), t) for t in TABLES}, m.kept(), m.excluded())
 
 
 # --- scope and profile ------------------------------------------------------
@@ -492,9 +517,14 @@ def _(m):
     return validation.violation_delta(m.rule_counts())
 
 
+@query("validation_report")
+def _(m):
+    return validation.validation_report(m.rule_counts())
+
+
 @query("iteration_metrics")
 def _(m):
-    return validation.iteration_metrics(m.rule_counts(), {0: m.loaded(), 1: m.repaired()})
+    return passes.iteration_metrics(m.passes())
 
 
 # --- repair, final tables, analysis -----------------------------------------

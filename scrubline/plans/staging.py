@@ -8,6 +8,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scrubline import vocab as V
 from scrubline.operators.checks import ind_kept, ind_violations, tag_ind
 
 STAGED = {
@@ -26,6 +27,12 @@ def typed(table: str, cleaned: DataFrame) -> DataFrame:
     return cleaned.select(*(F.col(n).cast(t).alias(n) for n, t in pairs))
 
 
+def traced(table: str, rows: DataFrame) -> DataFrame:
+    """Staging columns and types, with the source file and row that each row came from."""
+    pairs = [c.split() for c in STAGED[table]]
+    return rows.select(*(F.col(n).cast(t).alias(n) for n, t in pairs), V.SOURCE_FILE, V.SOURCE_ROW)
+
+
 def load(tables: Tables) -> Tables:
     """Keep the rows whose parents survived: pages by menu, items by page, then by dish."""
     pages = ind_kept(tables["menu_page"], "menu_id", tables["menu"])
@@ -102,10 +109,13 @@ def final_item_priced(priced: DataFrame, pages: DataFrame) -> DataFrame:
 def as_money(df: DataFrame, *columns: str) -> DataFrame:
     """Prices as ``decimal(18,2)`` for a final sink, without rows that have one too large for it.
 
-    :func:`too_large` gives those rows.
+    :func:`too_large` gives those rows, which belong to the excluded records.
     """
-    kept = df.where(~_unfit(columns))
-    return kept.withColumns({c: F.col(c).try_cast("decimal(18,2)") for c in columns})
+    return fitting(df, *columns).withColumns({c: F.col(c).try_cast("decimal(18,2)") for c in columns})
+
+
+def fitting(df: DataFrame, *columns: str) -> DataFrame:
+    return df.where(~_unfit(columns))
 
 
 def too_large(df: DataFrame, *columns: str) -> DataFrame:

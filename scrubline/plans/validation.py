@@ -34,6 +34,7 @@ FD_STATEMENTS = {
     "FD-4": "menu_page_id, dish_id -> price",
     "FD-5": "id -> name, lowest_price, highest_price",
 }
+FD4_KEYS = ("menu_item", ["menu_page_id", "dish_id"])
 IND_RULES = (
     ("IND-1", "menu_page", "menu_id", "menu"),
     ("IND-2", "menu_item", "menu_page_id", "menu_page"),
@@ -61,12 +62,17 @@ def _uniform(
     ).toDF(*UNIFORM)
 
 
+def _fd_rows(rule: str, rows: DataFrame) -> DataFrame:
+    """Violations of one dependency in the rows of its table."""
+    if rule == "FD-4":
+        return price_conflicts(rows)
+    _, keys, attributes = FD_KEYS[rule]
+    return fd_violations(rows, rule, keys, attributes)
+
+
 def fd_results(tables: Tables) -> Tables:
-    found = {
-        rule: fd_violations(tables[table], rule, keys, attributes)
-        for rule, (table, keys, attributes) in FD_KEYS.items()
-    }
-    found["FD-4"] = price_conflicts(tables["menu_item"])
+    found = {rule: _fd_rows(rule, tables[table]) for rule, (table, _, _) in FD_KEYS.items()}
+    found["FD-4"] = _fd_rows("FD-4", tables[FD4_KEYS[0]])
     return dict(sorted(found.items()))
 
 
@@ -124,31 +130,32 @@ def violations(tables: Tables, iteration: int = 0) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _integrity_counts(df: DataFrame, table: str) -> DataFrame:
+    rules = [r for r in INTEGRITY_RULES if r.table == table]
+    row = df.agg(*(F.count_if(r.predicate(df)).alias(r.rule_id) for r in rules))
+    lines = [
+        F.struct(
+            F.lit("IC").alias("family"),
+            F.lit(r.rule_id).alias("rule_id"),
+            F.col(f"`{r.rule_id}`").alias("violations"),
+        )
+        for r in rules
+    ]
+    return row.select(F.inline(F.array(*lines)))
+
+
 def rule_counts(tables: Tables, iteration: int = 0) -> DataFrame:
     """Violating rows per rule, zero included.
 
     Integrity rules of a table are counted in one scan of it.
     """
-    parts = []
-    for table in ("menu", "menu_page", "menu_item", "dish"):
-        df = tables[table]
-        rules = [r for r in INTEGRITY_RULES if r.table == table]
-        row = df.agg(*(F.count_if(r.predicate(df)).alias(r.rule_id) for r in rules))
-        lines = [
-            F.struct(
-                F.lit(r.rule_id).alias("rule_id"),
-                F.lit("IC").alias("family"),
-                F.col(f"`{r.rule_id}`").alias("violations"),
-            )
-            for r in rules
-        ]
-        parts.append(row.select(F.inline(F.array(*lines))))
+    parts = [_integrity_counts(tables[t], t) for t in ("menu", "menu_page", "menu_item", "dish")]
     found = {r: ind_violations(tables[c], k, tables[p]) for r, c, k, p in IND_RULES}
     found.update(fd_results(tables))
     for rule, rows in found.items():
         parts.append(
             rows.agg(F.count(F.lit(1)).alias("violations")).select(
-                F.lit(rule).alias("rule_id"), F.lit(rule.split("-")[0]).alias("family"), "violations"
+                F.lit(rule.split("-")[0]).alias("family"), F.lit(rule).alias("rule_id"), "violations"
             )
         )
     return reduce(DataFrame.unionByName, parts).select(
@@ -156,11 +163,63 @@ def rule_counts(tables: Tables, iteration: int = 0) -> DataFrame:
     )
 
 
+def touching(rows: DataFrame, touched: DataFrame, keys: list[str], how: str = "left_semi") -> DataFrame:
+    """Rows whose keys are among the touched ones, or are not (``left_anti``); NULL equals NULL."""
+    named = touched.select(*(F.col(k).alias(f"_touched_{k}") for k in keys))
+    same = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_touched_{k}")) for k in keys))
+    return rows.join(named, same, how)
+
+
+def recount(
+    counts: DataFrame, before: Tables, after: Tables, gone: Tables, come: Tables, iteration: int
+) -> DataFrame:
+    """Counts of ``iteration`` from those before it and the rows that went and came.
+
+    ``gone`` and ``come`` hold, for each changed table, its rows as they were and as they are.  A
+    row rule is counted over these rows alone.  An inclusion rule looks at them, and at the
+    children of changed parents; a dependency rule at the rows, before and after, whose keys they
+    hold.  Rules of tables that haven't changed keep their counts.
+    """
+    deltas = [counts.select("family", "rule_id", "violations")]
+
+    def add(rule: str, rows: DataFrame, sign: int) -> None:
+        n = rows.agg((F.count(F.lit(1)) * sign).alias("violations"))
+        deltas.append(n.select(F.lit(rule.split("-")[0]).alias("family"), F.lit(rule).alias("rule_id"), "violations"))
+
+    for table in gone:
+        for rows, sign in ((gone[table], -1), (come[table], 1)):
+            found = _integrity_counts(rows, table)
+            deltas.append(found.withColumn("violations", F.col("violations") * sign))
+    for rule, child, key, parent in IND_RULES:
+        if parent in gone:
+            moved = gone[parent].select("id").union(come[parent].select("id")).withColumnRenamed("id", key)
+            if child in gone:
+                moved = moved.union(gone[child].select(key)).union(come[child].select(key))
+            for tables, sign in ((before, -1), (after, 1)):
+                rows = touching(tables[child], moved.distinct(), [key])
+                add(rule, ind_violations(rows, key, tables[parent]), sign)
+        elif child in gone:
+            add(rule, ind_violations(gone[child], key, before[parent]), -1)
+            add(rule, ind_violations(come[child], key, after[parent]), 1)
+    for rule, (table, keys) in {**{r: (t, k) for r, (t, k, _) in FD_KEYS.items()}, "FD-4": FD4_KEYS}.items():
+        if table in gone:
+            moved = gone[table].select(*keys).union(come[table].select(*keys)).distinct()
+            for tables, sign in ((before, -1), (after, 1)):
+                add(rule, _fd_rows(rule, touching(tables[table], moved, keys)), sign)
+    return (
+        reduce(DataFrame.unionByName, deltas)
+        .groupBy("family", "rule_id")
+        .agg(F.sum("violations").alias("violations"))
+        .select(F.lit(iteration).alias("iteration"), "family", "rule_id", "violations")
+    )
+
+
 def violation_delta(counts: DataFrame) -> DataFrame:
-    """Before, after and resolved per rule, from the counts of iterations 0 and 1."""
+    """Before, after and resolved per rule, from the counts of the first and the last iteration."""
+    last = counts.agg(F.max("iteration")).scalar()
     at = {
         name: F.sum(F.when(F.col("iteration") == i, F.col("violations")).otherwise(0)).alias(name)
-        for i, name in ((0, "before_repair"), (1, "after_repair"))
+        for i, name in ((F.lit(0), "before_repair"), (last, "after_repair"))
     }
     return (
         counts.groupBy("family", "rule_id")
@@ -169,6 +228,23 @@ def violation_delta(counts: DataFrame) -> DataFrame:
     )
 
 
+def validation_report(counts: DataFrame) -> DataFrame:
+    """Every rule with its statement, its violations at the start and the end, and the outcome:
+    ``holds``, ``resolved``, ``reduced`` or ``accepted``."""
+    rules = [(r.rule_id, r.table, r.violation) for r in INTEGRITY_RULES]
+    rules += [(r, c, f"{c}.{k} must exist in {p}.id") for r, c, k, p in IND_RULES]
+    rules += [(r, "menu_item" if r == "FD-4" else FD_KEYS[r][0], text) for r, text in FD_STATEMENTS.items()]
+    stated = F.inline(
+        F.array(*(F.struct(F.lit(r).alias("rule_id"), F.lit(t).alias("source_table"), F.lit(s).alias("statement")) for r, t, s in rules))
+    )
+    statements = counts.sparkSession.range(1).select(stated)
+    before, after = F.col("before_repair"), F.col("after_repair")
+    outcome = F.when(before + after == 0, "holds").when(after == 0, "resolved").when(after < before, "reduced").otherwise("accepted")
+    return violation_delta(counts).join(statements, "rule_id").select(
+        "family", "rule_id", "source_table", "statement", "before_repair", "after_repair", "resolved", outcome.alias("outcome")
+    )
+
+
 def eligible_items(tables: Tables) -> DataFrame:
     """Items that can enter a menu average: on a page and a dish, with a positive price."""
     return final_item(tables).where(F.col("clean_item_price") > 0)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,25 +25,86 @@ def check_shape(table: str, actual: list[str], expected: tuple[str, ...]) -> Non
         raise ShapeError(f"table {table}: header is {list(actual)}; declared are {list(expected)}")
 
 
-def read_text_csv(
+#: How files whose lines may end inside quotes are read: ``auto`` looks and reads those files whole,
+#: ``always`` reads every file whole, ``refuse`` looks and stops.
+LINE_BREAKS = ("auto", "always", "refuse")
+
+
+def open_files(spark: SparkSession, path: str) -> list[str]:
+    """Files below ``path`` of which some line ends inside quotes, or may do so.
+
+    A quote inside quotes is doubled, so that quotes come in pairs wherever a record ends.  A file
+    all of whose lines hold an even number of them can therefore be split at any line.
+    Lines are counted where they are read; one row per file with an odd line comes back.
+    """
+    quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), (quotes % 2).alias("odd"))
+    return sorted(r["file"] for r in lines.where("odd = 1").select("file").distinct().collect())
+
+
+def _plain_path(spark: SparkSession, uri: str) -> str:
+    """The path of a scanned file as a reader takes it: not encoded, pattern characters escaped."""
+    jvm = spark._jvm
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(uri)).toString())
+
+
+def csv_scans(
     spark: SparkSession,
     path: str,
     table: str,
     columns: tuple[str, ...] | None = None,
-    multiline: bool = False,
-) -> DataFrame:
-    """Read a CSV as text only; a blank cell is the empty string, never NULL.
+    line_breaks: str = "auto",
+) -> list[DataFrame]:
+    """One or two scans of a CSV as text only; a blank cell is the empty string, never NULL.
 
     The first header is compared here, every other file's when the file is read; a file
-    whose columns are named or ordered otherwise stops the read.  Files are split over
-    tasks.  ``multiline`` is for files with line breaks inside quotes; such a file can't be
-    split, and each is one task.
+    whose columns are named or ordered otherwise stops the read.  Files that :func:`open_files`
+    proves safe are split over tasks.  One with line breaks inside quotes can't be split and is
+    one task, or is refused; it is never cut inside a cell.
     """
+    if line_breaks not in LINE_BREAKS:
+        raise ValueError(f"line_breaks is one of {LINE_BREAKS}")
     expected = columns or V.RAW_COLUMNS[table]
     options = dict(header=True, escape='"', encoding="UTF-8", inferSchema=False)
     check_shape(table, spark.read.options(**options).csv(path).columns, expected)
-    reader = spark.read.schema(text_schema(expected)).options(**options, enforceSchema=False, multiLine=multiline)
-    return reader.csv(path).fillna("")
+
+    def scan(paths: str | list[str], whole: bool) -> DataFrame:
+        reader = spark.read.schema(text_schema(expected)).options(**options, enforceSchema=False, multiLine=whole)
+        return reader.csv(paths).fillna("")
+
+    if line_breaks == "always":
+        return [scan(path, True)]
+    found = open_files(spark, path)
+    if found and line_breaks == "refuse":
+        raise ShapeError(f"table {table}: lines of {found[0]} end inside quotes")
+    if not found:
+        return [scan(path, False)]
+    every = [r["file"] for r in spark.read.text(path).select(F.col("_metadata.file_path").alias("file")).distinct().collect()]
+    safe = sorted(set(every) - set(found))
+    parts = [scan([_plain_path(spark, f) for f in found], True)]
+    return parts + ([scan([_plain_path(spark, f) for f in safe], False)] if safe else [])
+
+
+def read_text_csv(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    columns: tuple[str, ...] | None = None,
+    line_breaks: str = "auto",
+) -> DataFrame:
+    """All rows of :func:`csv_scans`."""
+    return reduce(DataFrame.unionByName, csv_scans(spark, path, table, columns, line_breaks))
+
+
+def read_stamped(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    columns: tuple[str, ...] | None = None,
+    line_breaks: str = "auto",
+) -> DataFrame:
+    """All rows of :func:`csv_scans`, each with its file and row number."""
+    return reduce(DataFrame.unionByName, (stamp_rows(s) for s in csv_scans(spark, path, table, columns, line_breaks)))
 
 
 def is_header_error(error: Exception) -> bool:

@@ -69,6 +69,7 @@ class Reason:
     NO_VALID_FALLBACK_PRICE = "no_valid_fallback_price"
     NO_DISH_ID_AND_NO_PRICE = "no_dish_id_and_no_price"
     SUSPICIOUS_EXTREME_PRICE = "suspicious_extreme_price"
+    PRICE_TOO_LARGE = "price_too_large"
 
 
 class PriceSource:

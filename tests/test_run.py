@@ -14,7 +14,7 @@ from scrubline.operators.status import row_status
 from scrubline.plans import cleaning, run
 from scrubline.sources import fixtures
 from scrubline.sources.sinks import collect_log, write
-from scrubline.sources.text import ShapeError, is_header_error, read_text_csv, stamp_rows
+from scrubline.sources.text import ShapeError, csv_scans, is_header_error, open_files, read_stamped, read_text_csv, stamp_rows
 
 FILES = {
     "menu": 'id,date,currency,status\n1,1900-04-16T00:00:00Z,Dollars,complete\n2, 1901-01-02,Dollars,complete\n3,,Francs,complete\nx7,2928-01-01,,complete\n',
@@ -69,16 +69,58 @@ def test_a_zero_character_survives_the_read(spark):
     assert sorted(map(tuple, read_text_csv(spark, path, "menu_page").collect())) == [("\x00", "10"), ("2", "")]
 
 
-def test_files_are_split_unless_lines_may_break_in_quotes(spark):
+def test_files_are_split(spark):
     path = written({"a": "id,menu_id\n" + "".join(f"{i},{i}\n" for i in range(20_000))})
     spark.conf.set("spark.sql.files.maxPartitionBytes", "13000")
     try:
         assert read_text_csv(spark, path, "menu_page").rdd.getNumPartitions() >= 16
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    path = written({"a": 'id,name,lowest_price,highest_price\n1,"Soup\nof day",1,2\n'})
-    (row,) = read_text_csv(spark, path, "dish", multiline=True).collect()
-    assert row.name == "Soup\nof day"
+
+
+BROKEN = 'id,name,lowest_price,highest_price\n1,"Soup\nof ""the"" day",1,2\n2,plain,,\n3,"a\r\nb",5,\n'
+PLAIN = "id,name,lowest_price,highest_price\n" + "".join(f'{k},"N ""{k}"", x",1,2\n' for k in range(10, 3000))
+
+
+def test_line_breaks_inside_quotes_never_split_a_row(spark):
+    """Under the default settings, beside files that are split."""
+    path = written({"a": PLAIN, "b c[1]": BROKEN, "d": PLAIN})
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        assert [f.rpartition("/")[2] for f in open_files(spark, path)] == ["b%20c%5B1%5D.csv"]
+        broken, safe = csv_scans(spark, path, "dish")
+        assert broken.rdd.getNumPartitions() == 1 and safe.rdd.getNumPartitions() >= 8
+        rows = read_stamped(spark, path, "dish").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert len(rows) == 2 * 2990 + 3
+    got = {r.source_row_num: tuple(r)[:4] for r in rows if r.source_file.startswith("b")}
+    # The parser gives every line break inside a cell as one character.
+    assert got == {1: ("1", 'Soup\nof "the" day', "1", "2"), 2: ("2", "plain", "", ""), 3: ("3", "a\nb", "5", "")}
+    assert all(int(r.id) == r.source_row_num + 9 and r.name == f'N "{r.id}", x' for r in rows if not r.source_file.startswith("b"))
+
+
+def test_line_breaks_are_refused_or_expected(spark):
+    path = written({"a": BROKEN})
+    with pytest.raises(ShapeError, match="inside quotes"):
+        read_text_csv(spark, path, "dish", line_breaks="refuse")
+    assert read_text_csv(spark, path, "dish", line_breaks="always").count() == 3
+    assert read_text_csv(spark, written({"a": PLAIN}), "dish", line_breaks="refuse").count() == 2990
+    with pytest.raises(ValueError):
+        read_text_csv(spark, path, "dish", line_breaks="maybe")
+
+
+def test_a_stray_quote_costs_the_split_but_no_cell(spark):
+    path = written({"a": 'id,menu_id\n1,5" pipe\n2,x\n'})
+    assert sorted(map(tuple, read_text_csv(spark, path, "menu_page").collect())) == [("1", '5" pipe'), ("2", "x")]
+
+
+def test_the_job_keeps_line_breaks_inside_quotes(spark):
+    path = written({**FILES, "dish": BROKEN})
+    out = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    assert main([path, out, "dish"]) == 0
+    assert {(r.id, r.name, r.source_row_num) for r in spark.read.parquet(f"{out}/dish/rows").collect()} == {(1, "SOUP OF THE DAY", 1), (2, "PLAIN", 2), (3, "A B", 3)}
+    assert main([path, out, "dish", "--line-breaks", "refuse"]) == 1
 
 
 def test_row_numbers_over_many_blocks_and_files(spark):
@@ -185,6 +227,30 @@ def test_command_line(spark, folder):
     assert {(r.menu_item_id, r.menu_id, float(r.clean_item_price)) for r in items.where("menu_item_id in (100, 103)").collect()} == {(100, 1, 2.75), (103, 2, 2.0)}
     delta = {r.rule_id: (r.before_repair, r.after_repair) for r in spark.read.parquet(f"{out}/reports/violation_delta").collect()}
     assert delta["IC-8"] == (1, 0) and delta["FD-4"] == (1, 0)
+    books = {r.table: r for r in spark.read.parquet(f"{out}/reports/row_accounting").collect()}
+    assert set(books) == set(run.TABLES) and all(r.balanced for r in books.values())
+    gone = {(r.table, r.source_file, r.source_row_num, r.rule, r.kept_source_row_num) for r in spark.read.parquet(f"{out}/reports/excluded_records").collect()}
+    assert gone == {
+        ("menu_page", "menu_page.csv", 3, "IND-1", None), ("menu_item", "menu_item.csv", 5, "no_dish_id_and_no_price", None),
+        ("menu_item", "menu_item.csv", 6, "IND-2", None), ("menu_item", "menu_item.csv", 7, "IND-3", None),
+        ("menu_item", "menu_item.csv", 2, "D4", 1),
+    }
+    outcome = {r.rule_id: r.outcome for r in spark.read.parquet(f"{out}/reports/validation_report").collect()}
+    assert len(outcome) == 25 and outcome["IC-8"] == outcome["FD-4"] == "resolved" and outcome["IND-1"] == "holds"
+    assert {r.iteration for r in spark.read.parquet(f"{out}/reports/iteration_metrics").collect()} == {0, 1}
+    status = {r.id: (r.cleaning_status, r.exclusion_reason) for r in spark.read.parquet(f"{out}/menu_item/rows").collect()}
+    assert status[104] == ("excluded", "no_dish_id_and_no_price") and status[107][0] == "warning" and len(status) == 8
+
+
+def test_a_price_too_large_is_an_excluded_record(spark):
+    rows = "".join(f"{k},10,1e17,,{k % 2 + 1}\n" for k in (1, 2)) + "3,11,2,,1\n"
+    path = written({**FILES, "menu_item": "id,menu_page_id,price,high_price,dish_id\n" + rows})
+    out = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    assert main([path, out]) == 0
+    assert [r.menu_item_id for r in spark.read.parquet(f"{out}/final/final_item").collect()] == [3]
+    gone = spark.read.parquet(f"{out}/reports/excluded_records").where("`table` = 'menu_item'").collect()
+    assert sorted((r.source_row_num, r.rule) for r in gone) == [(1, "price_too_large"), (2, "price_too_large")]
+    assert all(r.balanced for r in spark.read.parquet(f"{out}/reports/row_accounting").collect())
 
 
 def test_csv_artifacts_in_row_order(spark, folder):
