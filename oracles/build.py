@@ -193,6 +193,11 @@ CTES: dict[str, tuple[tuple[str, ...], str]] = {
         ("dish_raw",),
         "texts as (select 'dish' as source, id, name as raw from dish_raw union all select 'document', cast(doc_id as varchar), text from documents)",
     ),
+    "part_names": (
+        (),
+        """part_names as (select p_partkey as id, case p_partkey % 3 when 0 then concat(split_part(p_name, ' ', 2), ', ', split_part(p_name, ' ', 1))
+      when 1 then concat(upper(p_name), '.') else p_name end as name from part)""",
+    ),
     "name_variants": (
         (),
         """name_variants as (select case p_partkey % 3 when 0 then concat(split_part(p_name, ' ', 2), ', ', split_part(p_name, ' ', 1))
@@ -241,6 +246,14 @@ O["unmapped_currencies"] = sql("menu_clean", "select currency, count(*) as menus
 O["fold_accents"] = sql("texts", "select source, id, strip_accents(raw) as value from texts")
 O["clean_name"] = sql("texts", "select source, id, cname as value, name_ops as ops from n", name_ctes("n", "texts", "raw"))
 
+O["clean_custom"] = sql(
+    "dish_raw",
+    """select cast(id as varchar) as id, cname as name, 'dish.csv' as source_file, cast(id as bigint) as source_row_num,
+    concat_ws(';', case when masked <> name then 'name:digits_masked' end, case when name_ops <> '' then 'name:' || replace(name_ops, ';', ';name:') end) as log from n""",
+    "masked as (select *, regexp_replace(name, '[0-9]+', 'N', 'g') as masked from dish_raw)",
+    name_ctes("n", "masked", "masked"),
+)
+
 # --- provenance -------------------------------------------------------------
 O["row_stamp"] = "select l_orderkey, l_linenumber, l_partkey, 'lineitem.parquet' as source_file, row_number() over () as source_row_num, '' as log from lineitem"
 O["row_log"] = sql(
@@ -451,6 +464,27 @@ O["price_quantile"] = sql(
         for p in ("0.95::double", "0.99::double", "0.995::double", "0.999::double")
     ),
 )
+O["price_quantile_sketch"] = sql(
+    "item_clean dish_clean",
+    "\nunion all ".join(
+        f"""select '{t}' as "table", '{c[:-4]}' as "column", {p} as prob, count(*) as total, true as within_bound from {s} where {c}::double > 0"""
+        for t, s, l, h in PRICED
+        for c in (l, h)
+        for p in ("0.95::double", "0.99::double", "0.995::double", "0.999::double")
+    ),
+)
+ID_PLACES = (
+    ("menu", (("menu_clean", "id", "menu.id"), ("page_clean", "menu_id", "menu_page.menu_id"))),
+    ("menu_page", (("page_clean", "id", "menu_page.id"), ("item_clean", "menu_page_id", "menu_item.menu_page_id"))),
+    ("dish", (("dish_clean", "id", "dish.id"), ("item_clean", "dish_id", "menu_item.dish_id"))),
+)
+O["distinct_sketch"] = sql(
+    "menu_clean page_clean item_clean dish_clean",
+    "\nunion all ".join(
+        [f"select '{k}' as kind, '{at}' as place, count(distinct {c}) as exact, true as within_bound from {s}" for k, places in ID_PLACES for s, c, at in places]
+        + [f"select '{k}', 'all', count(distinct v), true from ({' union all '.join(f'select {c} as v from {s}' for s, c, _ in places)})" for k, places in ID_PLACES]
+    ),
+)
 O["year_range"] = sql("menu_clean", "select min(year) as first_year, max(year) as last_year, count(year) as dated, count(*) - count(year) as undated from menu_clean")
 O["name_collapse"] = sql("dish_clean", "select count(distinct raw_name) as distinct_before, count(distinct name) as distinct_after, count(distinct raw_name) - count(distinct name) as collapsed, count(*) filter (where name = 'UNKNOWN') as unknown from dish_clean")
 FINGERPRINT = """variants as (select key as cluster_key, name as variant, count(*) as variant_rows from (
@@ -461,6 +495,84 @@ clusters as (select cluster_key, count(*) as variants, cast(sum(variant_rows) as
 O["cluster_fingerprint"] = sql("name_variants", "select * from clusters", FINGERPRINT)
 O["cluster_members"] = sql("name_variants", "select v.cluster_key, v.variant, v.variant_rows, c.variants, c.cluster_rows, c.suggested from variants v join clusters c on v.cluster_key = c.cluster_key", FINGERPRINT)
 
+HEADS = """spelt as (select p.id, p.name, c.cluster_key, coalesce(c.suggested, p.name) as plain
+    from part_names p join variants v on v.variant = p.name left join clusters c on c.cluster_key = v.cluster_key),
+heads as (select split_part(v.cluster_key, ' ', 1) as head, plain, count(*) as n from spelt join variants v on v.variant = plain group by all),
+head_clusters as (select head, arg_max(plain, (n, plain)) as suggested from heads group by head having count(*) > 1),
+merged as (select s.id, s.name, coalesce(hc.suggested, s.plain) as merged,
+    case when s.name <> s.plain then 'fingerprint:' || s.cluster_key when hc.suggested <> s.plain then 'head:' || hc.head end as moved
+    from spelt s join heads h on h.plain = s.plain left join head_clusters hc on hc.head = h.head)"""
+O["cluster_apply"] = sql("name_variants part_names", "select id, name, merged, case when merged <> name then moved end as cluster_id from merged", FINGERPRINT, HEADS)
+O["cluster_effect"] = sql(
+    "name_variants part_names",
+    """select moved as cluster_id, split_part(moved, ':', 1) as "method", merged as canonical, count(distinct name) as merged_variants, count(*) as rows_affected
+  from merged where moved is not null and merged <> name group by all""",
+    FINGERPRINT,
+    HEADS,
+)
+
+
+def each(case: str, word: str = "w") -> str:
+    """A text made place by place: b is the letter, a the one before, c and d the ones after."""
+    for letter, at in (("a", "i - 1"), ("b", "i"), ("c", "i + 1"), ("d", "i + 2")):
+        case = case.replace(f"${letter}", f"(case when {at} between 1 and length({word}) then {word}[{at}] else '' end)")
+    return f"array_to_string(list_transform(range(1, length({word}) + 1), lambda i: {case}), '')"
+
+
+def single_runs(x: str) -> str:
+    """Equal neighbours once."""
+    return f"array_to_string(list_filter(string_split({x}, ''), lambda y, i: i = 1 or y <> ({x})[i - 1]), '')"
+
+
+COLOGNE = """case when $b in ('A','E','I','J','O','U','Y') then '0' when $b = 'B' then '1' when $b = 'P' then case when $c = 'H' then '3' else '1' end
+  when $b in ('D','T') then case when $c in ('C','S','Z') then '8' else '2' end when $b in ('F','V','W') then '3' when $b in ('G','K','Q') then '4'
+  when $b = 'C' then case when i = 1 and $c in ('A','H','K','L','O','Q','R','U','X') then '4' when i = 1 then '8'
+    when $a in ('S','Z') then '8' when $c in ('A','H','K','O','Q','U','X') then '4' else '8' end
+  when $b = 'X' then case when $a in ('C','K','Q') then '8' else '48' end when $b = 'L' then '5' when $b in ('M','N') then '6' when $b = 'R' then '7'
+  when $b in ('S','Z') then '8' else '' end"""
+VOWELS = "('A','E','I','O','U')"
+METAPHONE = f"""case when $b in {VOWELS} then case when i = 1 then $b else '' end
+  when $b = 'C' then case when $c = 'H' then case when $a = 'S' then 'K' else 'X' end when $c = 'I' and $d = 'A' then 'X' when $c in ('I','E','Y') then 'S' else 'K' end
+  when $b = 'D' then case when $c = 'G' and $d in ('E','I','Y') then 'J' else 'T' end
+  when $b = 'G' then case when $a = 'D' and $c in ('E','I','Y') then '' when $c = 'H' and $d <> '' and $d not in {VOWELS} then ''
+    when $c = 'N' and i + 1 = length(w) then 'N' when $c in ('I','E','Y') then 'J' else 'K' end
+  when $b = 'H' then case when $a in ('C','S','T','P') or ($a = 'G' and $c <> '' and $c not in {VOWELS}) then ''
+    when regexp_matches(substr(w, 1, i - 1), '[AEIOU][WY]*$') and $c not in {VOWELS} then '' else 'H' end
+  when $b = 'K' then case when $a = 'C' then '' else 'K' end
+  when $b = 'N' then case when $a = 'G' and i = length(w) then '' else 'N' end
+  when $b = 'P' then case when $c = 'H' then 'F' else 'P' end when $b = 'Q' then 'K'
+  when $b = 'S' then case when $c = 'H' or ($c = 'I' and $d in ('O','A')) then 'X' else 'S' end
+  when $b = 'T' then case when $c = 'C' and $d = 'H' then '' when $c = 'H' then '0' when $c = 'I' and $d in ('A','O') then 'X' else 'T' end
+  when $b = 'V' then 'F' when $b in ('W','Y') then case when $c in {VOWELS} then $b else '' end
+  when $b = 'X' then 'KS' when $b = 'Z' then 'S' else $b end"""
+
+
+def phonetic(source: str, column: str) -> str:
+    """``name, soundex, cologne, metaphone`` of every distinct value, told letter by letter."""
+    starts = (("KN|GN|PN", "N"), ("AE", "E"), ("WR", "R"), ("X", "S"), ("WH", "W"))
+    w = "doubles"
+    for pattern, to in starts:
+        w = f"regexp_replace({w}, '^(?:{pattern})', '{to}')"
+    kept_c = "array_to_string(list_filter(string_split(l, ''), lambda y, i: i = 1 or y = 'C' or y <> l[i - 1]), '')"
+    letter_codes = "translate(l[1] || regexp_replace(substr(l, 2), '[HW]', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '01230127022455012623017202')"
+    return f"""ph_l as (select distinct {column} as name, regexp_replace(upper({column}), '[^A-Z]', '', 'g') as l from {source}),
+ph_c as (select name, l, l as w, case when l = '' then '' else {letter_codes} end as sc, {kept_c} as doubles from ph_l),
+ph_k as (select name, l, sc, {each(COLOGNE)} as ck, regexp_replace({w}, 'MB$', 'M') as m from ph_c),
+ph as (select name, case when l = '' then '' else l[1] || rpad(substr(array_to_string(list_filter(string_split(substr(sc, 2), ''), lambda y, i: y <> '0' and y <> sc[i]), ''), 1, 3), 3, '0') end as soundex,
+    substr({single_runs('ck')}, 1, 1) || replace(substr({single_runs('ck')}, 2), '0', '') as cologne,
+    {each(METAPHONE.replace('w)', 'm)').replace('substr(w', 'substr(m'), 'm')} as metaphone from ph_k)"""
+
+
+O["cluster_phonetic"] = sql(
+    "dish_clean",
+    "\nunion all ".join(
+        f"""select '{m}' as "method", cluster_key, count(*) as variants, cast(sum(variant_rows) as bigint) as cluster_rows, arg_max(variant, (variant_rows, variant)) as suggested
+  from (select ph.{m} as cluster_key, d.name as variant, count(*) as variant_rows from dish_clean d join ph on ph.name = d.name group by all) group by cluster_key having count(*) > 1"""
+        for m in ("soundex", "cologne", "metaphone")
+    ),
+    phonetic("dish_clean", "name"),
+)
+
 # --- checks -----------------------------------------------------------------
 IC = (
     ("1", "stg_menu_all", "", "Menu.id is required", "id is null"),

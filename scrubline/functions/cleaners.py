@@ -14,6 +14,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +57,26 @@ class Cleaner:
             names,
         )
 
+    @staticmethod
+    def from_arrow(build: Callable[[pa.Array], tuple[pa.Array, dict[str, pa.Array]]], names: tuple[str, ...]) -> Cleaner:
+        """A cleaner from a function over Arrow text arrays.
+
+        ``build`` gives the clean texts and, per operation, which rows it changed (NULL: not).  It
+        runs in Python workers, batch by batch; as it counts as nondeterministic, the
+        optimizer neither repeats it for a second use of its result nor moves a filter below it.
+        """
+
+        @F.arrow_udf("struct<value:string,ops:array<string>>")
+        def both(raw: pa.Array) -> pa.Array:
+            value, done = build(raw)
+            marks = [(name, pc.fill_null(done[name], False)) for name in names if name in done]
+            ops = [[name for name, mark in marks if mark[k].as_py()] for k in range(len(raw))]
+            return pa.StructArray.from_arrays(
+                [value.cast(pa.string()), pa.array(ops, pa.list_(pa.string()))], ["value", "ops"]
+            )
+
+        return Cleaner.of(both.asNondeterministic(), names)
+
     def run(self, df: DataFrame, source: Column, prefix: str) -> DataFrame:
         """Add ``<prefix>_value`` and ``<prefix>_ops``."""
         return run_cleaners(df, [(self, source, prefix)])

@@ -6,14 +6,16 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrubline import vocab as V
-from scrubline.functions import CURRENCY, DATE, DECIMAL, INT, NAME, TEXT, keys
+from scrubline.functions import CURRENCY, DATE, DECIMAL, INT, NAME, TEXT, Cleaner, keys
 from scrubline.functions.unicode import fold_accents
-from scrubline.operators import accounting, checks, clusters, pricing, profile, quantiles, repair
-from scrubline.operators.stages import Trace
+from scrubline.operators import accounting, checks, clusters, pricing, profile, quantiles, repair, sketches
+from scrubline.operators.stages import Apply, Stage, Trace, run_stages
 from scrubline.operators.status import row_status
 from scrubline.plans import cleaning, passes, staging, validation
 from scrubline.plans.staging import Tables
@@ -239,6 +241,25 @@ def _(m):
     return cleaned_cells(texts(m), NAME, "source", "id")
 
 
+def _digits_masked(raw: pa.Array) -> tuple[pa.Array, dict[str, pa.Array]]:
+    """Numbers inside names, such as sizes and brands, as the letter N."""
+    value = pc.replace_substring_regex(raw, r"[0-9]+", "N")
+    return value, {"digits_masked": pc.not_equal(value, raw)}
+
+
+def user_chain(m: Menus) -> Trace:
+    """A cleaner of the user's own, in Python over Arrow, before one of the built-in ones."""
+    masked = Cleaner.from_arrow(_digits_masked, ("digits_masked",))
+    stages = (Stage("mask-digits", (Apply("name", masked),)), Stage("dish-name", (Apply("name", NAME),)))
+    dishes = fixtures.stamped(m.raw("dish").select("id", "name"), "dish")
+    return run_stages("dish", dishes, stages)
+
+
+@query("clean_custom")
+def _(m):
+    return user_chain(m).snapshot()
+
+
 # --- provenance -------------------------------------------------------------
 @query("row_stamp")
 def _(m):
@@ -381,6 +402,61 @@ def _(m):
     return union(found)
 
 
+def _priced_cells(m: Menus, table: str) -> tuple[DataFrame, dict[str, Column]]:
+    return m.trace(table).snapshot("price-decimal"), {c: F.col(c).try_cast("double") for c in V.WINSORIZE_COLUMNS[table]}
+
+
+@query("price_quantile_sketch")
+def _(m):
+    """Quantiles of merged sketches, one built per table, column and eighth of the rows, against the exact ranks."""
+    def built() -> DataFrame:
+        found = []
+        for table in ("menu_item", "dish"):
+            rows, cells = _priced_cells(m, table)
+            rows = rows.withColumn("part", F.pmod(F.col(V.SOURCE_ROW), F.lit(8)))
+            found.append(sketches.quantile_sketches(rows, cells, ["part"]).select(F.lit(table).alias("table"), "*"))
+        return union(found)
+
+    stored = m.work.table("quantile_sketches", built)
+    found = []
+    for table in ("menu_item", "dish"):
+        rows, cells = _priced_cells(m, table)
+        merged = sketches.merged_quantiles(stored.where(F.col("table") == table), ["column"])
+        estimates = sketches.estimated_quantiles(merged, [1 - x for x in V.CAP_LIMITS])
+        errors = sketches.rank_errors(rows, cells, estimates)
+        found.append(errors.select(F.lit(table).alias("table"), "column", F.round("prob", 4).alias("prob"), "total", (F.col("rank_error") <= sketches.RANK_BOUND).alias("within_bound")))
+    return union(found)
+
+
+#: Columns of one meaning and where they occur.
+ID_COLUMNS = {
+    "menu": (("menu", "id"), ("menu_page", "menu_id")),
+    "menu_page": (("menu_page", "id"), ("menu_item", "menu_page_id")),
+    "dish": (("dish", "id"), ("menu_item", "dish_id")),
+}
+
+
+@query("distinct_sketch")
+def _(m):
+    """Distinct ids per column and over the columns of one meaning, from stored and united sketches."""
+    cells = [(kind, t, c, m.trace(t).snapshot()) for kind, places in ID_COLUMNS.items() for t, c in places]
+
+    def built() -> DataFrame:
+        made = [sketches.distinct_sketches(rows, {c: F.col(c)}, []).select(F.lit(kind).alias("kind"), F.lit(f"{t}.{c}").alias("place"), "sketch") for kind, t, c, rows in cells]
+        return union(made)
+
+    stored = m.work.table("distinct_sketches", built)
+    everywhere = sketches.united(stored, ["kind"]).select("kind", F.lit("all").alias("place"), "sketch")
+    estimates = sketches.estimated_distinct(stored.unionByName(everywhere))
+    values = union([rows.select(F.lit(kind).alias("kind"), F.lit(f"{t}.{c}").alias("place"), F.col(c).alias("value")) for kind, t, c, rows in cells])
+    exact = values.groupBy("kind", "place").agg(F.count_distinct("value").alias("exact"))
+    exact = exact.unionByName(values.groupBy("kind").agg(F.lit("all").alias("place"), F.count_distinct("value").alias("exact")))
+    off = F.abs(F.col("estimate") - F.col("exact"))
+    return exact.join(estimates, ["kind", "place"]).select(
+        "kind", "place", "exact", (off <= sketches.DISTINCT_BOUND * F.col("exact")).alias("within_bound")
+    )
+
+
 @query("year_range")
 def _(m):
     return m.trace("menu").snapshot().agg(
@@ -393,14 +469,14 @@ def _(m):
     return profile.name_collapse(m.raw("dish"), m.trace("dish").snapshot())
 
 
+#: Part names as they get transcribed: reversed with a comma, shouted with a dot, or plain.
+PART_NAME = """case p_partkey % 3
+    when 0 then concat(split_part(p_name, ' ', 2), ', ', split_part(p_name, ' ', 1))
+    when 1 then concat(upper(p_name), '.') else p_name end"""
+
+
 def _names(m: Menus) -> DataFrame:
-    """Part names as they get transcribed: reversed with a comma, shouted with a dot, or plain."""
-    names = m.base("part").selectExpr(
-        """case p_partkey % 3
-             when 0 then concat(split_part(p_name, ' ', 2), ', ', split_part(p_name, ' ', 1))
-             when 1 then concat(upper(p_name), '.') else p_name end as name"""
-    )
-    return names
+    return m.base("part").select(F.expr(PART_NAME).alias("name"))
 
 
 def _fingerprint(name: Column) -> Column:
@@ -417,6 +493,35 @@ def _(m):
     return clusters.cluster_members(clusters.variants(_names(m), "name", _fingerprint))
 
 
+def _part_names(m: Menus) -> DataFrame:
+    return m.base("part").select(F.col("p_partkey").alias("id"), F.expr(PART_NAME).alias("name"))
+
+
+def _merges(m: Menus) -> DataFrame:
+    """Accepted merges of part names: spellings of one name, then names that share their first word.
+
+    The second kind starts where the first ends, so links form chains.
+    """
+    def build() -> DataFrame:
+        spelt = clusters.accepted_merges(clusters.cluster_members(clusters.variants(_part_names(m), "name", _fingerprint)), "fingerprint")
+        plain = clusters.apply_merges(_part_names(m), "name", spelt).select(F.col("merged").alias("name"))
+        heads = clusters.variants(plain, "name", lambda name: F.substring_index(_fingerprint(name), " ", 1))
+        links = spelt.unionByName(clusters.accepted_merges(clusters.cluster_members(heads), "head"))
+        return clusters.resolve_merges(links, lambda df, name: m.work.table(name, lambda: df))
+
+    return m.work.table("accepted_merges", build)
+
+
+@query("cluster_apply")
+def _(m):
+    return clusters.apply_merges(_part_names(m), "name", _merges(m))
+
+
+@query("cluster_effect")
+def _(m):
+    return clusters.merge_effect(_part_names(m), "name", _merges(m))
+
+
 @query("cluster_phonetic")
 def _(m):
     names = m.trace("dish").snapshot()
