@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from uuid import uuid4
 
@@ -19,11 +22,52 @@ def scratch(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/llm-{uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage and survives lost executors."""
-    path = scratch(df.sparkSession)
+#: Folders to delete when the innermost open scope ends, and those left when the driver does.
+_scopes: list[list[str]] = []
+_left: list[tuple[SparkSession, str]] = []
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables that :func:`stored` writes inside are deleted at the end, but for lasting ones, which
+    live as long as what surrounds."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            _delete(spark, path)
+
+
+@atexit.register
+def _delete_left() -> None:
+    for spark, path in _left:
+        if spark.sparkContext._jsc is not None:
+            _delete(spark, path)
+
+
+def stored(df: DataFrame, lasting: bool = False) -> DataFrame:
+    """Write to the shared folder and read back: cuts lineage and survives lost executors.
+
+    The table goes with the scope that it is written in (:func:`passing`), a ``lasting`` one with
+    the scope around that, and without such a scope when the driver ends.
+    """
+    spark = df.sparkSession
+    path = scratch(spark)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    around = _scopes[: len(_scopes) - lasting]
+    if around:
+        around[-1].append(path)
+    else:
+        _left.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def placed(df: DataFrame, *order: Column) -> DataFrame:

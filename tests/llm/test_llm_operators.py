@@ -19,7 +19,7 @@ import __spark_entry__ as driver
 from awkward_tables import SF_DIR, awkward_rows, words_of
 from scrubline.llm import chat, decontamination, exact_dedup, licenses, mixing, near_dedup, ranked_search, sharding, simhash, token_counts, token_store, toxicity, vector_codes
 from scrubline.llm.components import components
-from scrubline.llm.storage import placed, scratch, without
+from scrubline.llm.storage import passing, placed, scratch, stored, without
 
 BYTES, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
 
@@ -240,9 +240,11 @@ def test_near_dedup_awkward(spark, awkward, nothing):
     assert near_dedup.near_duplicates(nothing).count() == 0
 
 
-def test_near_dedup_large_nodes(spark, monkeypatch):
+@pytest.mark.parametrize("pairs", [200, 1 << 25])
+def test_near_dedup_large_nodes(spark, monkeypatch, pairs):
     """Groups of near copies and a passage shared by many, with nodes that count as large."""
     monkeypatch.setattr(near_dedup, "SMALL_NODE", 6)
+    monkeypatch.setattr(near_dedup, "PAIRS", pairs)
     monkeypatch.setattr(near_dedup, "PIVOTS", 2)
     monkeypatch.setattr(near_dedup, "CHUNK", 16)
     monkeypatch.setattr(near_dedup, "DEPTH", 3)
@@ -257,6 +259,58 @@ def test_near_dedup_large_nodes(spark, monkeypatch):
     assert Counter(tuple(r) for r in near_dedup.near_duplicates(docs).collect()) == brute_components(rows)
 
 
+def test_links_inside_a_group_are_exact_and_few():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 200, dtype=np.uint64)
+    sets = []
+    for k in range(60):
+        keep = rng.random(200) < (0.95 if k % 2 else 0.8)
+        sets.append(np.unique(np.concatenate([base[keep], rng.integers(0, 2**63, 15, dtype=np.uint64)])))
+    comp = [k if k > 4 else 0 for k in range(60)]
+    found = near_dedup._links_of(sets, list(range(60)), comp, [c > 0 for c in comp], 75)
+
+    def groups(links):
+        label = list(comp)
+        for a, b in links:
+            old, new = label[a], label[b]
+            label = [new if x == old else x for x in label]
+        return {frozenset(k for k in range(60) if label[k] == x) for x in set(label)}
+
+    every = [
+        (a, b) for a, b in combinations(range(60), 2)
+        if 100 * (both := len(np.intersect1d(sets[a], sets[b]))) >= 75 * (len(sets[a]) + len(sets[b]) - both)
+    ]
+    assert set(found) <= set(every) and groups(found) == groups(every) and len(found) < 60 < len(every)
+
+
+def test_repeated_rows_are_compared_once(spark, monkeypatch):
+    seen = []
+    plain = near_dedup.confirm
+
+    def counted(pairs, groups, reps, docs, similarity):
+        seen.append(pairs.count())
+        return plain(pairs, groups, reps, docs, similarity)
+
+    monkeypatch.setattr(near_dedup, "confirm", counted)
+    say = lambda word: " ".join(f"{word}{k}" for k in range(60))
+    near = say("a").replace("a30", "other")
+    docs = spark.createDataFrame([(1, say("a"))] * 80 + [(2, near)] * 80, "doc_id long, text string").repartition(4)
+    assert {(r.doc_id, r.component_id) for r in near_dedup.near_duplicates(docs).collect()} == {(1, 1), (2, 1)}
+    assert max(seen) == 1
+
+
+def test_handed_over_tables_go_with_their_scope(spark):
+    import os
+
+    place = lambda df: df.inputFiles()[0].rpartition("/")[0].removeprefix("file:")
+    with passing(spark):
+        first = place(stored(spark.range(3)))
+        with passing(spark):
+            kept, gone = place(stored(spark.range(3), lasting=True)), place(stored(spark.range(3)))
+        assert os.path.isdir(first) and os.path.isdir(kept) and not os.path.exists(gone)
+    assert not os.path.exists(first) and not os.path.exists(kept)
+
+
 # 4: mixing
 
 
@@ -284,7 +338,27 @@ def test_fit_is_nearest(monkeypatch):
             for n, c in counts.items():
                 sums = {s + n * k for s in sums for k in range(c + 1)}
             best = min(abs(budget - s) for s in sums)
-            assert abs(off) == best if limit > budget else abs(off) < 60
+            assert abs(off) == best if max(limit, 4 * max(counts)) >= budget else abs(off) <= best + max(counts) / 3
+
+
+@pytest.mark.parametrize("counts, budget, nearest", [({100_000: 2}, 90_000, 100_000), ({100_000: 10}, 590_000, 600_000), ({2_000_000: 1, 10: 500}, 1_900_000, 2_000_000), ({7: 3, 10**9: 3}, 2 * 10**9 + 6, 2 * 10**9 + 7)])
+def test_fit_takes_long_documents(counts, budget, nearest):
+    got = sum(n * c for n, c in mixing.fit(budget, counts).items())
+    # Beyond CELLS words lengths count in units.
+    assert got == nearest if budget < mixing.CELLS else abs(got - budget) <= 4 * budget / mixing.CELLS
+
+
+def test_mixed_rows_are_those_of_the_mix(spark):
+    rows = [(1, "w " * 10, "a")] * 1000 + [(k, "x " * 7, "b") for k in range(300)] + [(None, "y " * 3, None)] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(6).withColumn("_key", F.lit(5)).withColumn("pos", F.lit(1))
+    taken = Counter()
+    for r in mixing.mix(docs).collect():
+        taken[r["doc_id"], r["source"]] += r["times"]
+    got = mixing.mixed(docs)
+    assert got.columns == docs.columns and got.where("_key <> 5 or pos <> 1").count() == 0
+    assert Counter((r["doc_id"], r["source"]) for r in got.collect()) == Counter({k: n for k, n in taken.items() if n})
+    each = Counter(r["text"] for r in got.collect())
+    assert each["w " * 10] == taken[1, "a"] % 10**6 and each["w " * 10] % 1000
 
 
 def check_mix(rows, got):
@@ -540,11 +614,11 @@ def test_token_store(spark, awkward, nothing, documents):
     got = driver.queries()["op10_token_store"](spark, SF_DIR).collect()
     check_store([(r.doc_id, r.text) for r in documents], got)
     payload, index = token_store.token_store(nothing, WORDS, 1, scratch(spark))
-    assert token_store.read_back(payload, token_store.look_up(index, token_store.keys_of(nothing))).count() == 0
+    assert token_store.read_back(payload, token_store.look_up(index, token_store.keys_of(payload))).count() == 0
     folder = scratch(spark)
     token_store.token_store(awkward, WORDS, 1, folder)
     payload, index = token_store.open_store(spark, folder)
-    back = token_store.read_back(payload, token_store.look_up(index, token_store.keys_of(awkward))).collect()
+    back = token_store.read_back(payload, token_store.look_up(index, token_store.keys_of(payload))).collect()
     rows = awkward_rows()
     once = [r for r in rows if sum(x[0] == r[0] for x in rows) == 1]
     library = Tokenizer.from_file(WORDS)
@@ -552,10 +626,46 @@ def test_token_store(spark, awkward, nothing, documents):
     assert {r["doc_id"]: r["n_tokens"] for r in back if r["doc_id"] in {o[0] for o in once}} == {
         o[0]: len(library.encode(o[1] or "", add_special_tokens=False).ids) + 1 for o in once
     }
+    asked = [(10, 0), (11, 0), (None, 1), (13, 0), (13, 1), (0, 0), (10**9, 0), (13, 7)]
+    got = {(r.doc_id, r.copy): r.ids for r in token_store.fetch(payload, index, asked).collect()}
+    whole = lambda text: library.encode(text or "", add_special_tokens=False).ids + [1]
+    assert {k: got[k] for k in ((10, 0), (11, 0), (0, 0))} == {(r[0], 0): whole(r[1]) for r in rows if r[0] in (10, 11, 0)}
+    of = lambda i: sorted(whole(r[1]) for r in rows if r[0] == i)
+    assert sorted([got[13, 0], got[13, 1]]) == of(13) and got[None, 1] in of(None) and len(got) == 6
+    assert token_store.fetch(payload, index, [(10**9, 0)]).count() == 0
     strangers = spark.createDataFrame([(10**9 + k, 0) for k in range(500)], "doc_id long, copy int")
     assert token_store.look_up(index, strangers).count() == 0
 
 
+def test_a_few_keys_read_a_few_files(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text of "), "id").alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        payload, index = token_store.token_store(docs.repartition(8), WORDS, 1, scratch(spark))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert payload.select("shard").distinct().count() > 4
+    found = token_store.fetch(payload, index, [(5, 0), (6, 0)])
+    assert {r.doc_id for r in found.collect()} == {5, 6}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(shard" in plan or "PartitionFilters: [shard" in plan
+    (scan,) = [x for x in plan_metrics(found) if x]
+    assert scan["numPartitions"] == 1 and scan["numFiles"] < payload.select("shard").distinct().count()
+    with pytest.raises(ValueError):
+        token_store.fetch(payload, index, [(k, 0) for k in range(token_store.MOST_KEYS + 1)])
+
+
+def plan_metrics(frame):
+    """Files and folders read by the scans of a plan that has run."""
+    leaves = frame._jdf.queryExecution().executedPlan().collectLeaves()
+    out = []
+    for k in range(leaves.size()):
+        metrics = leaves.apply(k).metrics()
+        names = ("numFiles", "numPartitions")
+        out.append({n: metrics.apply(n).value() for n in names if metrics.contains(n)})
+    return out
+
+
 def test_perfect_hash_is_minimal(spark):
     import pandas as pd
 
