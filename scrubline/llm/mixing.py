@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from fractions import Fraction
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +13,9 @@ from scrubline.llm.storage import placed, row_key, stored
 
 WEIGHTS = (5, 2, 1)
 MOST_TIMES = 3
-#: Words of a budget that the dynamic program fits; the rest is filled proportionally first.
+#: Words of a budget that the dynamic program fits at least, and the sums it tells apart at most.
 EXACT_WORDS = 1 << 16
+CELLS = 1 << 24
 PLAN = "source string, size long, source_size long, target double, passes long, extra long"
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -42,51 +44,66 @@ def targets(sizes: list[int], share: float = 1.0, weights: tuple[int, ...] = WEI
 def fit(budget: int, counts: dict[int, int]) -> dict[int, int]:
     """How many documents of each length to take so that their words come nearest ``budget``.
 
-    All but the last ``EXACT_WORDS`` of the budget are filled by every length's proportional
-    share, rounded down, and then by long lengths.  A bounded knapsack over the documents left
-    finds the reachable sum nearest to the rest, preferring not to exceed it; a budget of at
-    most ``EXACT_WORDS`` is so fitted as well as it can be.
+    All but a rest of the budget is filled by every length's proportional share, rounded down,
+    and then by long lengths.  The rest is at least ``EXACT_WORDS`` and four times the longest
+    document, so that one more long document, going over the budget, is weighed against many
+    short ones.  A bounded knapsack over the documents left finds the sum nearest to the rest,
+    not exceeding it where two are equally near; a budget that isn't larger than the rest is so
+    fitted as well as it can be.  Where the rest and the longest document are beyond ``CELLS``
+    words, lengths count in units, at most one part in ``CELLS`` of it each.
     """
     total = sum(n * c for n, c in counts.items())
     if budget <= 0 or not total:
         return {}
     if budget >= total:
         return dict(counts)
-    rough = max(0, budget - EXACT_WORDS)
+    longest = max(counts)
+    rest = max(EXACT_WORDS, 4 * longest)
+    rough = max(0, budget - rest)
     taken = {n: c * rough // total for n, c in counts.items()}
     left = budget - sum(n * c for n, c in taken.items())
-    order = sorted(counts, reverse=True)
-    for n in order:
-        if left <= EXACT_WORDS:
+    for n in sorted(counts, reverse=True):
+        if left <= rest:
             break
-        more = min(counts[n] - taken[n], -(-(left - EXACT_WORDS) // n), left // n)
+        more = min(counts[n] - taken[n], -(-(left - rest) // n), left // n)
         taken[n] += more
         left -= more * n
-    if left > EXACT_WORDS:
-        return taken
-    # Bit s of `sums` says that s words can be made; each step adds a batch of one length.
-    top = left + order[0]
-    mask = (1 << (top + 1)) - 1
-    steps, sums = [], 1
-    for n in sorted(counts):
-        spare, batch = min(counts[n] - taken[n], top // n), 1
-        while spare > 0 and not sums >> left & 1:
-            batch = min(batch, spare)
-            steps.append((n, batch, sums))
-            sums |= sums << n * batch & mask
-            spare -= batch
+    for n, more in _nearest(left, {n: c - taken[n] for n, c in counts.items()}, longest).items():
+        taken[n] += more
+    return taken
+
+
+def _nearest(goal: int, spare: dict[int, int], longest: int) -> dict[int, int]:
+    """Documents of ``spare`` whose words come nearest ``goal``: bounded knapsack by batches of 1, 2,
+    4, ... documents of a length.  A cell holds the first batch that made its sum."""
+    unit = -(-(goal + longest) // CELLS)
+    top, aim = (goal + longest) // unit, goal // unit if unit == 1 else round(goal / unit)
+    first = np.full(top + 1, -1, np.int32)
+    first[0] = 0
+    steps = [(0, 0, 0)]
+    for n in sorted(spare):
+        width = round(n / unit)
+        left, batch = min(spare[n], top // max(width, 1)), 1
+        while left > 0 and width and first[aim] < 0:
+            batch = min(batch, left)
+            move = width * batch
+            if move > top:
+                break
+            new = np.flatnonzero((first[:-move] >= 0) & (first[move:] < 0)) + move
+            first[new] = len(steps)
+            steps.append((n, batch, move))
+            left -= batch
             batch *= 2
-        if sums >> left & 1:
+        if first[aim] >= 0:
             break
-    below = (sums & ((1 << (left + 1)) - 1)).bit_length() - 1
-    above = sums >> left
-    above = left + (above & -above).bit_length() - 1 if above else None
-    goal = above if above is not None and above - left < left - below else below
-    for n, batch, before in reversed(steps):
-        if not before >> goal & 1:
-            taken[n] += batch
-            goal -= n * batch
-    return taken
+    made = np.flatnonzero(first >= 0)
+    at = int(made[np.argmin(np.abs(made - aim))])
+    out: dict[int, int] = {}
+    while at:
+        n, batch, move = steps[first[at]]
+        out[n] = out.get(n, 0) + batch
+        at -= move
+    return out
 
 
 def _planned(goals: dict[str | None, tuple[int, float, int, int]]):
@@ -117,8 +134,9 @@ def mix(docs: DataFrame, seed: int = 17, share: float = 1.0, weights: tuple[int,
     :func:`fit` over the numbers of documents per length, and of each length the documents
     that come first by a seeded hash are taken once more.  ``taken`` is ``times`` times the
     size.  NULL and blank texts have size 0 and are taken as often as their source is whole.
-    Reruns agree; repeated rows are taken one by one; an empty table gives no rows; other
-    columns are ignored.  Source totals (one row per source) and lengths per source (bounded
+    Reruns agree; of rows and lengths that tie, the smaller doc_id goes first; repeated rows are
+    taken one by one; a very long text is weighed like any other; an empty table gives no rows;
+    other columns are ignored.  Source totals (one row per source) and lengths per source (bounded
     by the longest text) are the only things that meet in one place.
     """
     key = row_key(F.coalesce("text", F.lit("")))
@@ -146,10 +164,21 @@ def mix(docs: DataFrame, seed: int = 17, share: float = 1.0, weights: tuple[int,
 def mixed(docs: DataFrame, **how) -> DataFrame:
     """The rows and columns of ``docs``, each row as often as :func:`mix` takes it.
 
-    Rows equal in doc_id and text share alike, rounded to whole times.
+    Rows equal in doc_id and text are alike, so what :func:`mix` takes of them all is dealt to
+    them evenly, the remainder once each to as many of them; no word is lost or added by that.
     """
-    taken = mix(docs, **how).groupBy("doc_id", "_key").agg(F.round(F.avg("times")).cast("int").alias("_times")).where("_times > 0")
-    taken = taken.select(F.col("doc_id").alias("_d"), F.col("_key").alias("_k"), "_times")
-    rows = docs.withColumn("_key", row_key(F.coalesce("text", F.lit(""))))
-    both = rows.join(taken, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_key") == F.col("_k")))
-    return both.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    taken = mix(docs, **how).groupBy("doc_id", "_key").agg(F.sum("times").alias("_all"), F.count(F.lit(1)).alias("_n"))
+    taken = taken.where("_all > 0").select(F.col("doc_id").alias("_d2"), F.col("_key").alias("_k2"), "_all", "_n")
+    key = row_key(F.coalesce("text", F.lit("")))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_d"), key.alias("_k"))
+    met = rows.join(taken, F.col("_d").eqNullSafe(F.col("_d2")) & (F.col("_k") == F.col("_k2"))).drop("_d2", "_k2")
+    times = F.expr("_all div _n")
+    even = met.where("_all % _n = 0").select("_row", times.alias("_times"))
+    # The others are numbered within their group, which is spread over tasks by a random-like lot.
+    uneven = met.where("_all % _n > 0").withColumn("_lot", F.xxhash64(F.monotonically_increasing_id()))
+    order = placed(uneven, F.col("_k"), F.col("_d"), F.col("_lot"))
+    firsts = order.groupBy(F.col("_k").alias("_k2"), F.col("_d").alias("_d2")).agg(F.min("pos").alias("_first"))
+    numbered = order.join(firsts, (F.col("_k") == F.col("_k2")) & F.col("_d").eqNullSafe(F.col("_d2")))
+    more = (F.col("pos") - F.col("_first") < F.col("_all") % F.col("_n")).cast("long")
+    dealt = even.union(numbered.select("_row", (times + more).alias("_times"))).where("_times > 0")
+    return dealt.withColumn("_turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select("_row.*")
