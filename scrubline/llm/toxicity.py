@@ -2,161 +2,228 @@
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scrubline.llm.storage import stored, texts
-
-#: Labelled rows learnt from, of either class: those with the smallest hash of their doc_id.
-SAMPLE_PER_CLASS = 3000
-#: Words learnt from, of either class, and landmarks among them.
-WORDS_PER_CLASS = 1500
-LANDMARKS = 500
-#: Rounds of training; each adds the clean words that the last one found most suspicious.
-ROUNDS = 4
-#: Letters of a subsequence, letters it may be spread over, and the price of each.
-LENGTH, SPREAD, DECAY = 3, 8, 0.6
-ALPHABET = 64
-#: Words of a text remembered with their scores.
-REMEMBERED = 200_000
-FEATURES = 4
+from scrubline.llm.storage import passing, stored, texts
+
+#: Letters of a subsequence, letters it may be spread over, and the price of each one between.
+LENGTH, SPREAD, DECAY = 4, 6, 0.5
+#: Signs that a window's subsequences begin at.
+WINDOW = 10
+#: Codes of signs: space, 26 letters, digits, other signs, three of other letters.
+SIGNS = 32
+CODES = SIGNS**LENGTH
+#: Windows of a text that count, and those learnt from at most.
+TOP, LEARNT = 2, 3
+#: Signs of a text that are scored at once.
+PIECE = 1 << 18
+FEATURES = 3
 THRESHOLD = 0.5
-LOWEST, HIGHEST = -2.0, 4.0
-SHORT = 30
-#: Signs and letters put into toxic words of the training list, one at a time.
-INSERTED = "-*.x1"
-#: A token is a run of non-space without its outer signs; letters set apart are one token too.
-_OUTER = re.compile(r"^[\W_]+|[\W_]+$")
-_SPELT = re.compile(r"(?<!\w)(?:\w[\W_]){2,}\w(?!\w)")
-_BREAKS = re.compile(r"[\W_]+")
+LOWEST, HIGHEST = -3.0, 3.0
+SHORT = 100
 
 
-def raw_tokens(text: str) -> set[str]:
-    """Distinct lower-case runs of non-space; letters set apart one by one are one word too."""
-    text = text.lower()
-    return {*text.split(), *(_BREAKS.sub("", spelt) for spelt in _SPELT.findall(text))}
+@dataclass(frozen=True)
+class Settings:
+    """Bounds of the training, which is the same at every size of the tables.
 
+    ``per_class`` labelled rows of either class are learnt from: those with the smallest hash of
+    their doc_id.  A quarter of them is kept for calibration.  ``clues`` subsequences open the
+    search for toxic windows, each with a log likelihood ratio of ``least_gain`` at least.  In
+    each of ``rounds`` the machine is trained on at most ``windows`` windows of either class and
+    a changed copy of each toxic one, in the space of ``landmarks`` of them.
+    """
+
+    per_class: int = 3000
+    clues: int = 4096
+    least_gain: float = 8.0
+    rounds: int = 4
+    windows: int = 5000
+    landmarks: int = 400
+
+
+# --- kernel -----------------------------------------------------------------
+_BETWEEN = list(combinations(range(1, SPREAD), LENGTH - 1))
+_PRICE = [np.float32(DECAY ** (gap[-1] + 1 - LENGTH)) for gap in _BETWEEN]
+
+
+@lru_cache(maxsize=1)
+def _table() -> np.ndarray:
+    """Code of every sign of the first planes' scripts; accents and case don't count."""
+    out = np.empty(0x3000, np.int32)
+    for point in range(len(out)):
+        sign = chr(point).lower()
+        base = unicodedata.normalize("NFKD", sign)[:1]
+        if sign.isspace() or point < 32:
+            out[point] = 0
+        elif "a" <= base <= "z":
+            out[point] = ord(base) - 96
+        elif sign.isdigit():
+            out[point] = 27
+        else:
+            out[point] = 29 + point % 3 if sign.isalpha() else 28
+    return out
 
-def bare(token: str) -> str:
-    return _OUTER.sub("", token)
 
+def codes(text: str) -> np.ndarray:
+    points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+    table = _table()
+    return np.where(points < len(table), table[np.minimum(points, len(table) - 1)], 29 + points % 3).astype(np.int32)
 
-def tokens(text: str) -> set[str]:
-    """Distinct words of a text without their outer signs."""
-    return {bare(t) for t in raw_tokens(text)} - {""}
 
+def _subsequences(signs: np.ndarray) -> Iterator[tuple[np.ndarray, np.float32]]:
+    """Codes of the subsequences that begin at each place of the last axis, kind by kind, and their weight.
 
-def _letters(words: list[str], width: int) -> np.ndarray:
-    """Letter codes between a mark for the start and one for the end; -1 beyond it."""
-    code = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int32)
-    code = np.where((code >= 97) & (code <= 122), code - 96, 27 + code % (ALPHABET - 28))
-    length = np.array([[len(w)] for w in words])
-    out = np.full((len(words), width + 2), -1, np.int32)
-    out[:, 0] = 0
-    place = np.arange(width + 2)
-    out[(place > 0) & (place <= length)] = code
-    out[np.arange(len(words)), length[:, 0] + 1] = ALPHABET - 1
+    A kind is a choice of places after the first; its weight falls with what lies between, so
+    that signs put into a word, a space among them, cost a little instead of breaking the match.
+    The last ``SPREAD`` places begin none.
+    """
+    n = signs.shape[-1] - SPREAD
+    for gap, price in zip(_BETWEEN, _PRICE):
+        code = signs[..., :n] * SIGNS ** (LENGTH - 1)
+        for power, at in enumerate(gap):
+            code = code + signs[..., at : at + n] * SIGNS ** (LENGTH - 2 - power)
+        yield code, price
+
+
+def features(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The explicit feature map of windows (a row of ``WINDOW + SPREAD`` codes each): code and
+    value of every occurrence of a subsequence."""
+    found = list(_subsequences(windows.astype(np.int32)))
+    value = np.concatenate([np.full(code.shape, price) for code, price in found], axis=1)
+    return np.concatenate([code for code, _ in found], axis=1), value
+
+
+def kernel(windows: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
+    """Gap-weighted subsequence kernel of all windows with all landmarks."""
+    code, value = features(windows)
+    own, weight = features(landmarks)
+    out = np.empty((len(windows), len(landmarks)), np.float32)
+    table = np.zeros(CODES, np.float32)
+    for k in range(len(landmarks)):
+        np.add.at(table, own[k], weight[k])
+        out[:, k] = (table[code] * value).sum(axis=1)
+        table[own[k]] = 0
     return out
 
 
-_GAPS = [(j, k) for j in range(1, SPREAD) for k in range(j + 1, SPREAD)]
-_PRICE = np.array([DECAY ** (k + 1) for _, k in _GAPS], np.float32)
+# --- scores of texts --------------------------------------------------------
+def window_scores(signs: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weights of all subsequences that begin in the window at each place, added in one order.
+
+    The last ``WINDOW + SPREAD - 1`` places begin no window.
+    """
+    places = np.zeros(len(signs) - SPREAD, np.float32)
+    for code, price in _subsequences(signs):
+        places += price * weight[code]
+    n = len(places) - WINDOW + 1
+    out = places[:n].copy()
+    for k in range(1, WINDOW):
+        out += places[k : k + n]
+    return out
 
 
-def _subsequences(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Row, code and weight of all gapped subsequences of three letters, in blocks of words.
+def _blocks(batch: list[str]) -> Iterator[tuple[np.ndarray, list[tuple[int, int, int, int]]]]:
+    """Codes of texts side by side, and per text or piece of one: row, first place in the text, first and last window.
 
-    The weight of an occurrence is ``DECAY`` to the number of letters it spreads over, so
-    letters put in between cost a little instead of breaking the match.
+    Every text ends in spaces, so no window reaches into the next one.
     """
-    order = sorted(range(len(words)), key=lambda i: len(words[i]))
-    at = 0
-    while at < len(order):
-        width = len(words[order[at]])
-        after = at
-        while after < len(order) and len(words[order[after]]) <= width + 2 and (after - at) * (width + 2) < 200_000:
-            after += 1
-        rows = np.array(order[at:after])
-        letters = _letters([words[i] for i in rows], len(words[order[after - 1]]))
-        padded = np.pad(letters, ((0, 0), (0, SPREAD)), constant_values=-1)
-        n = letters.shape[1]
-        for (j, k), price in zip(_GAPS, _PRICE):
-            if k >= n:
-                continue
-            a, b, c = padded[:, : n - k], padded[:, j : j + n - k], padded[:, k:n]
-            row, place = np.nonzero(c >= 0)
-            code = (a[row, place] * ALPHABET + b[row, place]) * ALPHABET + c[row, place]
-            yield rows[row], code, np.broadcast_to(price, len(code))
-        at = after
-
-
-def _norms(words: list[str]) -> np.ndarray:
-    """Root of the squared weights of all occurrences, which depends on the length alone."""
-    length = np.maximum(LENGTH, [len(w) + 2 for w in words])[:, None]
-    return np.sqrt((np.maximum(0, length - [k for _, k in _GAPS]) * _PRICE**2).sum(axis=1))
-
-
-def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The explicit feature map as (row, code, value), equal codes added up."""
-    parts = list(_subsequences(words))
-    if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    row, code, price = (np.concatenate(x) for x in zip(*parts))
-    key, place = np.unique(row.astype(np.int64) * ALPHABET**LENGTH + code, return_inverse=True)
-    row, code = np.divmod(key, ALPHABET**LENGTH)
-    return row, code, np.bincount(place, weights=price) / _norms(words)[row]
-
-
-def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
-    """Normalised gap-weighted subsequence kernel of all words with all landmarks."""
-    l_row, l_code, l_value = features(landmarks)
-    used, column = np.unique(l_code, return_inverse=True)
-    basis = np.zeros((len(used), len(landmarks)))
-    basis[column, l_row] = l_value
-    out = np.zeros((len(words), len(landmarks)))
-    for first in range(0, len(words), 500):
-        row, code, value = features(words[first : first + 500])
-        at = np.minimum(np.searchsorted(used, code), len(used) - 1)
-        keep = used[at] == code
-        dense = np.zeros((len(words[first : first + 500]), len(used)))
-        dense[row[keep], at[keep]] = value[keep]
-        out[first : first + 500] = dense @ basis
+    held, spans, size = [], [], 0
+    end = np.zeros(WINDOW + SPREAD, np.int32)
+    for row, text in enumerate(batch):
+        for first in range(0, len(text), PIECE):
+            signs = np.concatenate([codes(text[first : first + PIECE + WINDOW + SPREAD]), end])
+            windows = min(PIECE, len(text) - first)
+            spans.append((row, first, size, size + windows))
+            held.append(signs)
+            size += len(signs)
+            if size >= PIECE:
+                yield np.concatenate(held), spans
+                held, spans, size = [], [], 0
+    if held:
+        yield np.concatenate(held), spans
+
+
+def top_windows(batch: list[str], weight: np.ndarray, most: int) -> list[list[tuple[float, np.ndarray]]]:
+    """Scores and codes of each text's best windows apart from each other, the best first."""
+    found: list[list[tuple[float, int, np.ndarray]]] = [[] for _ in batch]
+    for signs, spans in _blocks(batch):
+        scores = window_scores(signs, weight)
+        for row, first, low, high in spans:
+            part = scores[low:high].copy()
+            for _ in range(most):
+                at = int(part.argmax())
+                if part[at] == -np.inf:
+                    break
+                place = low + at
+                found[row].append((float(part[at]), first + at, signs[place : place + WINDOW + SPREAD].astype(np.uint8)))
+                part[max(0, at - WINDOW + 1) : at + WINDOW] = -np.inf
+    out = []
+    for windows in found:
+        kept: list[tuple[float, int, np.ndarray]] = []
+        for window in sorted(windows, key=lambda w: (-w[0], w[1])):
+            if len(kept) < most and all(abs(window[1] - k[1]) >= WINDOW for k in kept):
+                kept.append(window)
+        out.append([(score, signs) for score, _, signs in kept])
     return out
 
 
-def dressed(toxic: list[str], weight: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """The words and, at a third of their weight, forms with something put between two letters."""
-    more = {}
-    for word, w in zip(toxic, weight):
-        for k, sign in enumerate(INSERTED):
-            at = 1 + (k * len(word) // len(INSERTED) + k) % max(1, len(word) - 1)
-            more.setdefault(f"{word[:at]}{sign}{word[at:]}", w / 3)
-    return toxic + list(more), np.r_[weight, list(more.values())]
+def text_features(scores: list[list[float]], lengths: list[int], bias: float) -> np.ndarray:
+    """The two best windows' distances from the boundary, and the length.
+
+    Long texts reach high scores by chance more often; below ``SHORT`` signs that is no matter.
+    A window that a text lacks counts as the lowest.
+    """
+    out = np.full((len(scores), FEATURES), LOWEST)
+    for row, own in enumerate(scores):
+        out[row, : min(TOP, len(own))] = np.clip(np.array(own[:TOP]) + bias, LOWEST, HIGHEST)
+    out[:, TOP] = np.log(np.maximum(SHORT, lengths)) / 4
+    return out
+
 
+# --- training ---------------------------------------------------------------
+def changed(windows: np.ndarray) -> np.ndarray:
+    """Windows with one sign put in between two, as insults are disguised: a space or another sign."""
+    out = windows.copy()
+    for k in range(len(windows)):
+        at = 1 + k * 7 % (WINDOW - 1)
+        out[k, at + 1 :] = windows[k, at:-1]
+        out[k, at] = (0, 28, 28, 24, 27)[k % 5]
+    return out
 
-def train_words(toxic: list[str], clean: list[str], toxic_weight: np.ndarray) -> np.ndarray:
-    """Weight of every subsequence of three letters, bias last.
 
-    A squared-hinge support vector machine in the Nystroem space of the landmarks.  As the
-    landmarks have explicit feature maps, the trained function is one weight per subsequence,
-    so that scoring a word costs no more than listing its subsequences.
+def fit(toxic: np.ndarray, clean: np.ndarray, landmarks: int) -> tuple[np.ndarray, float]:
+    """Weight of every subsequence, and the bias, of a squared-hinge support vector machine.
+
+    It is trained in the Nystroem space of the landmarks, half of them toxic.  As these have
+    explicit feature maps, the trained function is one weight per subsequence, so that scoring
+    a window costs no more than listing its subsequences.
     """
-    first = toxic
-    toxic, toxic_weight = dressed(toxic, toxic_weight)
-    words = toxic + clean
+    windows = np.concatenate([toxic, clean])
     label = np.r_[np.ones(len(toxic)), -np.ones(len(clean))]
-    landmarks = first[: LANDMARKS // 2] + clean[: LANDMARKS // 2]
-    values, vectors = np.linalg.eigh(kernel(landmarks, landmarks))
-    kept = values > 1e-6 * values.max()
+    draw = np.random.default_rng(1)
+    half = landmarks // 2
+    chosen = np.r_[
+        draw.choice(len(toxic), min(half, len(toxic)), replace=False),
+        len(toxic) + draw.choice(len(clean), min(half, len(clean)), replace=False),
+    ]
+    met = kernel(windows, windows[chosen]).astype(np.float64)
+    scale = np.median(np.diag(met[chosen]))
+    met /= scale
+    values, vectors = np.linalg.eigh(met[chosen])
+    kept = values > 1e-4 * values.max()
     root = vectors[:, kept] / np.sqrt(values[kept])
-    x = np.c_[kernel(words, landmarks) @ root, np.ones(len(words))]
-    cost = np.ones(len(words))
-    cost[: len(toxic)] = toxic_weight / toxic_weight.mean() * len(clean) / len(toxic)
+    x = np.c_[met @ root, np.ones(len(windows))]
+    cost = np.where(label > 0, len(clean) / len(toxic), 1.0)
     ridge = np.eye(x.shape[1])
     ridge[-1, -1] = 1e-6
     w = np.zeros(x.shape[1])
@@ -168,47 +235,11 @@ def train_words(toxic: list[str], clean: list[str], toxic_weight: np.ndarray) ->
         w = new
         if done:
             break
-    row, code, value = features(landmarks)
-    weight = np.bincount(code, weights=(root @ w[:-1])[row] * value, minlength=ALPHABET**LENGTH)
-    return np.r_[weight, w[-1]].astype(np.float32)
-
-
-def score_words(words: list[str], weight: np.ndarray) -> np.ndarray:
-    """Signed distance of every word from the trained boundary."""
-    total = np.zeros(len(words))
-    for at in range(0, len(words), 20_000):
-        part = words[at : at + 20_000]
-        for row, code, price in _subsequences(part):
-            total[at : at + len(part)] += np.bincount(row, weights=price * weight[code], minlength=len(part))
-        total[at : at + len(part)] /= _norms(part)
-    return total + weight[-1]
-
-
-class Scorer:
-    """Features of texts: the two highest word scores, the number of words above 0, the length.
-
-    Long texts reach high scores by chance more often; below ``SHORT`` words that is no
-    matter, and length stops counting.  Scores that a text lacks count as the lowest.
-    """
-
-    def __init__(self, weight: np.ndarray) -> None:
-        self.weight = weight
-        self.known: dict[str, float] = {}
-
-    def texts(self, batch: list[str]) -> np.ndarray:
-        split = [raw_tokens(t) for t in batch]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        new = sorted({w for s in split for w in s}.difference(self.known))
-        words = [bare(w) for w in new]
-        scores = np.where([w == "" for w in words], -np.inf, score_words(words, self.weight)) if new else []
-        self.known.update(zip(new, map(float, scores)))
-        out = np.full((len(batch), FEATURES), LOWEST)
-        for row, found in enumerate(split):
-            scores = sorted(map(self.known.__getitem__, found), reverse=True)
-            out[row, : min(2, len(scores))] = scores[:2]
-            out[row, 2:] = np.log1p(sum(s > 0 for s in scores)), np.log(max(SHORT, len(scores))) / 4
-        return np.clip(out, LOWEST, HIGHEST)
+    weight = np.zeros(CODES, np.float32)
+    code, value = features(windows[chosen])
+    for k, share in enumerate(root @ w[:-1] / scale):
+        np.add.at(weight, code[k], value[k] * np.float32(share))
+    return weight, float(w[-1])
 
 
 def calibrate(x: np.ndarray, label: np.ndarray) -> np.ndarray:
@@ -226,103 +257,132 @@ def calibrate(x: np.ndarray, label: np.ndarray) -> np.ndarray:
     return w
 
 
-def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct words of labelled texts, one row each."""
-    for batch in batches:
-        for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-            found = sorted(tokens(text.as_py()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found, pa.string()), pa.array([toxic] * len(found), pa.int32())], ["word", "toxic"]
-            )
-
-
-def _suspicion(weight: np.ndarray):
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = score_words(batch.column(0).to_pylist(), weight)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], ["word", "score"])
-
-    return score
+def held_out():
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``text, toxic`` of a bounded sample of the training rows.
+def labelled(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
+    """``text, toxic, learnt`` of a bounded sample of the training rows.
 
     Training rows are those whose crc32 of the doc_id as text isn't a multiple of five.  The
-    sample holds at most ``SAMPLE_PER_CLASS`` rows of a class and so is safe to broadcast.
+    sample holds at most ``per_class`` labelled ids of a class and so is safe to broadcast; three
+    of four are learnt from, the others calibrate.
     """
     known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     train = known.where(~held_out())
     lot = F.xxhash64(F.lit(5), "doc_id")
-    parts = [train.where(F.col("toxic") == k).orderBy(lot, "doc_id").limit(SAMPLE_PER_CLASS) for k in (0, 1)]
-    return stored(texts(docs).join(F.broadcast(stored(parts[0].union(parts[1]))), "doc_id").select("text", "toxic"))
+    parts = [train.where(F.col("toxic") == k).orderBy(lot, "doc_id").limit(per_class) for k in (0, 1)]
+    chosen = parts[0].union(parts[1]).withColumn("learnt", F.pmod(F.xxhash64(F.lit(6), "doc_id"), F.lit(4)) > 0)
+    return stored(texts(docs).join(F.broadcast(stored(chosen)), "doc_id").select("text", "toxic", "learnt"))
 
 
-def held_out():
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
-
+def _clue_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of either class that hold each run of ``LENGTH`` signs, a row per run and task."""
+    count = np.zeros((2, CODES), np.int64)
+    end = np.zeros(SPREAD, np.int32)
+    for batch in batches:
+        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            code, _ = next(_subsequences(np.concatenate([codes(text), end])))
+            count[toxic, np.unique(code)] += 1
+    used = np.flatnonzero(count.any(axis=0))
+    yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(count[k, used]) for k in (0, 1))], ["code", "good", "bad"])
 
-def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
-    """Word weights and text weights, or None where the sample lacks a class.
 
-    Labels belong to texts, so words are labelled first: a word is toxic as far as it occurs
-    in toxic texts of the sample rather than in clean ones; clean words are the commonest of
-    clean texts, a draw by hash and, round by round, those that look most toxic so far.  The
-    lists are bounded; counting and scoring all words is Spark's work.
-    """
-    sample = labelled(docs, labels)
-    sizes = dict(sample.groupBy("toxic").count().collect())
+def _clues(sample: DataFrame, settings: Settings) -> np.ndarray | None:
+    """First weights: log odds of the runs that tell toxic texts of the sample from clean ones."""
+    sizes = dict(sample.where("learnt").groupBy("toxic").count().collect())
     if not sizes.get(0) or not sizes.get(1):
         return None
-    words = stored(
-        sample.mapInArrow(_listed, "word string, toxic int").where("length(word) between 3 and 40")
-        .groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
-    )
-    # Log likelihood ratio against independence; must beat chance over all words looked at.
-    bad, good = F.col("bad"), F.col("good")
-    share = sizes[1] / (sizes[0] + sizes[1])
+    runs = sample.where("learnt").select("text", "toxic").mapInArrow(_clue_counts, "code long, good long, bad long")
+    runs = runs.groupBy("code").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    bad, good, share = F.col("bad"), F.col("good"), sizes[1] / (sizes[0] + sizes[1])
     gain = F.when(bad > 0, bad * F.log(bad / ((bad + good) * share))).otherwise(0) + F.when(
         good > 0, good * F.log(good / ((bad + good) * (1 - share)))
     ).otherwise(0)
-    telling = words.where((gain > F.log(F.lit(max(words.count(), 2)))) & (bad > 4 * (bad + good) * share / (1 + 3 * share)))
-    toxic = telling.orderBy(F.desc(gain), "word").limit(WORDS_PER_CLASS).select("word", "bad").collect()
-    names = [r[0] for r in toxic]
-    clean = words.where("good > 0")
-    known = dict.fromkeys(r[0] for r in clean.orderBy(F.desc("good"), "word").limit(WORDS_PER_CLASS).collect())
-    known |= dict.fromkeys(r[0] for r in clean.orderBy(F.xxhash64("word"), "word").limit(WORDS_PER_CLASS).collect())
-    known = [w for w in known if w not in set(names)]
-    if not names or not known:
-        return None
-    for turn in range(ROUNDS):
-        weight = train_words(names, known, np.sqrt([r[1] for r in toxic]))
-        if turn < ROUNDS - 1:
-            seen = clean.select("word").mapInArrow(_suspicion(weight), "word string, score double")
-            hard = [r[0] for r in seen.orderBy(F.desc("score"), "word").limit(WORDS_PER_CLASS).collect()]
-            # The hardest come first, as landmarks are taken from the front.
-            known = list(dict.fromkeys(w for w in hard + known if w not in set(names)))
+    odds = F.log((bad + 0.5) / (sizes[1] + 1)) - F.log((good + 0.5) / (sizes[0] + 1))
+    telling = runs.where((gain > settings.least_gain) & (bad > (bad + good) * share))
+    weight = np.zeros(CODES, np.float32)
+    for code, value in telling.orderBy(gain.desc(), "code").limit(settings.clues).select("code", odds).collect():
+        weight[code] = value
+    return weight
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(weight)
+
+_SEEN = "toxic int, learnt boolean, length int, scores array<double>, signs array<binary>"
+
+
+def _seen(weight: np.ndarray):
+    """The best windows of labelled texts, a row per text."""
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = scorer.texts(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x[:, k]) for k in range(FEATURES)] + [batch.column(1)], [f"f{k}" for k in range(FEATURES)] + ["toxic"]
-            )
+            given = batch.column(0).to_pylist()
+            best = top_windows(given, weight, LEARNT)
+            columns = [
+                batch.column(1),
+                batch.column(2),
+                pa.array([len(t) for t in given], pa.int32()),
+                pa.array([[score for score, _ in own] for own in best], pa.list_(pa.float64())),
+                pa.array([[signs.tobytes() for _, signs in own] for own in best], pa.list_(pa.binary())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["toxic", "learnt", "length", "scores", "signs"])
+
+    return look
 
-    columns = ", ".join(f"f{k} double" for k in range(FEATURES))
-    rows = np.array(sample.mapInArrow(scored, f"{columns}, toxic int").collect(), float)
-    return weight, calibrate(rows[:, :FEATURES], rows[:, FEATURES])
 
+def _windows(found: list[bytes], most: int) -> np.ndarray:
+    return np.frombuffer(b"".join(found[:most]), np.uint8).reshape(-1, WINDOW + SPREAD)
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+
+Model = tuple[np.ndarray, float, np.ndarray]
+
+
+def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model | None:
+    """Subsequence weights, bias and text weights, or None where the sample lacks a class.
+
+    Labels belong to texts, so toxic windows have to be found: first by runs of signs that are
+    commoner in toxic texts, then, round by round, by the machine so far.  Of a toxic text the
+    best window is learnt as toxic, and further ones beyond the boundary; of a clean text the best ones are
+    learnt as clean, those of earlier rounds too.  Texts are read by Spark tasks; the windows,
+    a few thousand of ``WINDOW + SPREAD`` signs, are gathered.
+    """
+    with passing(docs.sparkSession):
+        sample = labelled(docs, labels, settings.per_class)
+        weight, bias = _clues(sample, settings), 0.0
+        if weight is None:
+            return None
+        clean: list[bytes] = []
+        for turn in range(settings.rounds + 1):
+            seen = sample.mapInArrow(_seen(weight), _SEEN).collect()
+            # In an order of their own, so that no order of rows changes a result.
+            seen.sort(key=lambda r: (-max(r["scores"], default=LOWEST), r["signs"][:1], r["length"]))
+            if turn == settings.rounds:
+                break
+            toxic, hard = [], []
+            for row in (r for r in seen if r["learnt"]):
+                if row["toxic"]:
+                    toxic += [s for k, s in enumerate(row["signs"]) if k == 0 or row["scores"][k] + bias > 0]
+                else:
+                    hard += row["signs"][:TOP]
+            clean = (hard + clean)[: settings.windows]
+            if not toxic or not clean:
+                return None
+            found = _windows(toxic, settings.windows)
+            weight, bias = fit(np.concatenate([found, changed(found)]), _windows(clean, settings.windows), settings.landmarks)
+        rest = [r for r in seen if not r["learnt"]]
+        # A small sample may lack a class among the rows kept for calibration.
+        rest = rest if len({r["toxic"] for r in rest}) == 2 else seen
+        x = text_features([r["scores"] for r in rest], [r["length"] for r in rest], bias)
+        return weight, bias, calibrate(x, np.array([r["toxic"] for r in rest], float))
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row.
 
-    Scores come from whole texts alone.  NULL, empty and wordless texts score as texts without
-    any suspicious word.  Where training rows lack a class every score is 0.  Rows with equal
+    Scores come from whole texts alone, however long.  NULL and empty texts score 0.  Where training rows lack a class every score is 0.  Rows with equal
     texts have equal scores; labels without a document, NULL labels and other columns are
     ignored (of several labels the highest counts); an empty table gives no rows.
     """
-    scores = _scored(train(docs, labels), 1)
+    scores = _scored(train(docs, labels, settings), 1)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, score in scores(batches):
@@ -336,9 +396,9 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def without_toxic(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows and columns of ``docs`` whose texts aren't predicted to be toxic; nothing is shuffled."""
-    scores = _scored(train(docs, labels), docs.columns.index("text"))
+    scores = _scored(train(docs, labels, settings), docs.columns.index("text"))
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, score in scores(batches):
@@ -347,19 +407,20 @@ def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return docs.mapInArrow(kept, docs.schema)
 
 
-def _scored(model: tuple[np.ndarray, np.ndarray] | None, column: int):
+def _scored(model: Model | None, column: int):
     """Parts of batches with the scores of the texts in a column."""
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-        scorer = Scorer(model[0]) if model else None
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
                 score = np.zeros(part.num_rows)
-                if scorer:
-                    found = [t or "" for t in part.column(column).to_pylist()]
-                    x = np.c_[scorer.texts(found), np.ones(part.num_rows)]
-                    score = 1 / (1 + np.exp(-np.clip(x @ model[1], -30, 30)))
+                if model:
+                    weight, bias, text_weight = model
+                    given = [t or "" for t in part.column(column).to_pylist()]
+                    best = [[s for s, _ in own] for own in top_windows(given, weight, TOP)]
+                    x = np.c_[text_features(best, [len(t) for t in given], bias), np.ones(part.num_rows)]
+                    score = np.where([bool(b) for b in best], 1 / (1 + np.exp(-np.clip(x @ text_weight, -30, 30))), 0.0)
                 yield part, score
 
     return scores
