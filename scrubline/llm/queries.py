@@ -68,7 +68,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     payload, index = token_store.token_store(docs, tokenizer("word_bpe_49k.json"), 1, scratch(spark))
-    return token_store.read_back(payload, token_store.look_up(index, token_store.keys_of(docs)))
+    return token_store.read_back(payload, token_store.look_up(index, token_store.keys_of(payload)))
 
 
 def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

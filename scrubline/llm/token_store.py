@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,12 +13,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scrubline.llm.storage import texts
+from scrubline.llm.storage import passing, stored, texts
 from scrubline.llm.textscan import mix
 from scrubline.llm.tokenizing import units
 
 CHUNK_BYTES = 1 << 20
 KEYS_PER_BUCKET = 2048
+#: Keys that one call of `fetch` takes.
+MOST_KEYS = 1000
 PAYLOAD = (
     "shard int, chunk int, doc_ids array<long>, copies array<int>, sizes array<long>, "
     "n_tokens long, width int, payload binary"
@@ -30,62 +33,79 @@ PLACE = "doc_id long, copy int, shard int, chunk int, first long, n_tokens long"
 
 
 def _encoded(path: str, end_id: int):
-    """Whole texts to chunks of ids; a chunk holds whole documents in order."""
+    """Ids of whole texts as raw bytes, where the texts lie."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = units(path)
         end = table.packed([end_id])
-        shard, chunk = TaskContext.get().partitionId(), 0
-        ids, copies, sizes, parts, held = [], [], [], [], 0
-        last, copy = object(), 0
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([shard], pa.int32()),
-                    pa.array([chunk], pa.int32()),
-                    pa.array([ids], pa.list_(pa.int64())),
-                    pa.array([copies], pa.list_(pa.int32())),
-                    pa.array([sizes], pa.list_(pa.int64())),
-                    pa.array([sum(sizes)], pa.int64()),
-                    pa.array([table.width], pa.int32()),
-                    pa.array([b"".join(parts)], pa.binary()),
-                ],
-                ["shard", "chunk", "doc_ids", "copies", "sizes", "n_tokens", "width", "payload"],
-            )
-
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                payload = table.ids(text.as_py()) + end
-                copy = copy + 1 if doc_id == last else 0
-                last = doc_id
-                ids.append(doc_id)
-                copies.append(copy)
-                sizes.append(len(payload) // table.width)
-                parts.append(payload)
-                held += len(payload)
-                if held >= CHUNK_BYTES:
-                    yield out()
-                    chunk += 1
-                    ids, copies, sizes, parts, held = [], [], [], [], 0
-        if ids:
-            yield out()
+            ids = [own + end for own in table.ids_of(batch.column(2))]
+            width = pa.array(np.full(len(ids), table.width, np.int32))
+            columns = [batch.column(0), batch.column(1), width, pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "_hash", "width", "ids"])
 
     return encode
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ids of documents in order to chunks, which hold whole documents."""
+    shard, chunk = TaskContext.get().partitionId(), 0
+    ids, copies, sizes, parts, held, width = [], [], [], [], 0, 0
+    last, copy = object(), 0
+
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([shard], pa.int32()),
+                pa.array([chunk], pa.int32()),
+                pa.array([ids], pa.list_(pa.int64())),
+                pa.array([copies], pa.list_(pa.int32())),
+                pa.array([sizes], pa.list_(pa.int64())),
+                pa.array([sum(sizes)], pa.int64()),
+                pa.array([width], pa.int32()),
+                pa.array([b"".join(parts)], pa.binary()),
+            ],
+            ["shard", "chunk", "doc_ids", "copies", "sizes", "n_tokens", "width", "payload"],
+        )
+
+    for batch in batches:
+        for doc_id, width, payload in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            copy = copy + 1 if doc_id == last else 0
+            last = doc_id
+            ids.append(doc_id)
+            copies.append(copy)
+            sizes.append(len(payload) // width)
+            parts.append(payload)
+            held += len(payload)
+            if held >= CHUNK_BYTES:
+                yield out()
+                chunk += 1
+                ids, copies, sizes, parts, held = [], [], [], [], 0
+    if ids:
+        yield out()
+
+
 def write_payload(docs: DataFrame, tokenizer: str, end_id: int, folder: str) -> DataFrame:
-    """Encode all texts in ascending doc_id order (NULL last) and write raw ids to ``folder``.
+    """Encode all texts and write raw ids in ascending doc_id order (NULL last) to ``folder``.
 
-    A shard is one range of ids; its chunks hold the little-endian ids of whole documents,
-    two bytes each if the vocabulary allows it.  Rows with one doc_id are its copies 0, 1, ...
+    Texts are encoded where they lie, once; their ids, a third of their size, are then put in
+    order.  A shard is one range of ids and one folder; its chunks hold the little-endian ids of whole
+    documents, two bytes each if the vocabulary allows it.  Rows with one doc_id are its
+    copies 0, 1, ... in a shard, ordered by their text's hash.
     """
-    ordered = texts(docs).repartitionByRange(F.col("doc_id").asc_nulls_last()).sortWithinPartitions(
-        F.col("doc_id").asc_nulls_last(), F.xxhash64("text")
-    )
-    rows = ordered.select("doc_id", "text").mapInArrow(_encoded(tokenizer, end_id), PAYLOAD)
-    rows.write.option("compression", "zstd").parquet(folder)
-    return docs.sparkSession.read.schema(PAYLOAD).parquet(folder)
+    spark = docs.sparkSession
+    with passing(spark):
+        rows = texts(docs).select("doc_id", F.xxhash64("text").alias("_hash"), "text")
+        encoded = stored(rows.mapInArrow(_encoded(tokenizer, end_id), "doc_id long, _hash long, width int, ids binary"))
+        order = [F.col("doc_id").asc_nulls_last()]
+        placed = encoded.repartitionByRange(*order).sortWithinPartitions(*order, "_hash")
+        chunks = placed.select("doc_id", "width", "ids").mapInArrow(_chunks, PAYLOAD)
+        chunks.write.partitionBy("shard").option("compression", "zstd").parquet(folder)
+    return open_payload(spark, folder)
+
+
+def open_payload(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(PAYLOAD).parquet(folder).select(*(c.split()[0] for c in PAYLOAD.split(", ")))
 
 
 def _key_hash(doc_ids: pd.Series, copies: pd.Series, seed: int) -> np.ndarray:
@@ -253,18 +273,57 @@ def token_store(docs: DataFrame, tokenizer: str, end_id: int, folder: str) -> tu
     """Write payload and index below ``folder``; the two tables read back.
 
     NULL text is empty and gives the end id alone.  NULL doc_ids come last.  Rows with one
-    doc_id are copies of a key, ordered by their text's hash.  An empty table gives empty
-    files.  Other columns are ignored.
+    doc_id are copies of a key, ordered by their text's hash.  Very long texts are one document
+    in one chunk.  An empty table gives empty files.  Other columns are ignored.
     """
     payload = write_payload(docs, tokenizer, end_id, f"{folder}/ids")
     return payload, write_index(payload, f"{folder}/index")
 
 
 def open_store(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return spark.read.schema(PAYLOAD).parquet(f"{folder}/ids"), spark.read.parquet(f"{folder}/index")
+    return open_payload(spark, f"{folder}/ids"), spark.read.parquet(f"{folder}/index")
+
 
+def keys_of(payload: DataFrame) -> DataFrame:
+    """``doc_id, copy`` of every document in the store."""
+    return directory(payload).select("doc_id", "copy")
 
-def keys_of(docs: DataFrame) -> DataFrame:
-    """``doc_id, copy`` of every row."""
-    counted = docs.groupBy("doc_id").agg(F.count(F.lit(1)).cast("int").alias("_n"))
-    return counted.select("doc_id", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("copy"))
+
+def _picked(wanted: dict[tuple[int, int], list[tuple]]):
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, chunk, width, payload in zip(*batch.columns):
+                ids = np.frombuffer(payload.as_buffer(), f"<u{width.as_py()}")
+                places = wanted.get((shard.as_py(), chunk.as_py()), [])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([p[0] for p in places], pa.int64()),
+                        pa.array([p[1] for p in places], pa.int32()),
+                        pa.array([ids[f : f + n].tolist() for _, _, f, n in places], pa.list_(pa.int64())),
+                    ],
+                    ["doc_id", "copy", "ids"],
+                )
+
+    return pick
+
+
+def fetch(payload: DataFrame, index: DataFrame, keys: list[tuple[int | None, int]]) -> DataFrame:
+    """``doc_id, copy, ids`` of a few documents, at most ``MOST_KEYS``, from their chunks alone.
+
+    Each key costs a look into its bucket of the index; of the payload only the folders of the
+    shards and the chunks that hold a key are read.  Unknown keys are left out.
+    """
+    if len(keys) > MOST_KEYS:
+        raise ValueError(f"at most {MOST_KEYS} keys; use look_up and read_back for more")
+    spark = payload.sparkSession
+    asked = spark.createDataFrame(list(dict.fromkeys(keys)), "doc_id long, copy int")
+    first = index.select("buckets").first()
+    buckets = [r[0] for r in asked.select(_bucket(first[0] if first else 1)).distinct().collect()]
+    places = look_up(index.where(F.col("bucket").isin(buckets)), asked).collect()
+    wanted: dict[tuple[int, int], list[tuple]] = {}
+    for p in places:
+        wanted.setdefault((p["shard"], p["chunk"]), []).append((p["doc_id"], p["copy"], p["first"], p["n_tokens"]))
+    shards = sorted({s for s, _ in wanted})
+    here = reduce(lambda a, b: a | b, ((F.col("shard") == s) & (F.col("chunk") == c) for s, c in wanted), F.lit(False))
+    found = payload.where(F.col("shard").isin(shards)).where(here)
+    return found.select("shard", "chunk", "width", "payload").mapInArrow(_picked(wanted), "doc_id long, copy int, ids array<long>")

@@ -551,32 +551,94 @@ def test_one_more_shard_moves_little(spark, documents):
 # 9: toxicity
 
 
-def test_kernel_is_the_gapped_subsequence_kernel():
-    def brute(x, y):
-        def spread(w):
-            w, found = ["<", *w, ">"], Counter()
-            for a, b, c in combinations(range(len(w)), 3):
-                if c - a < toxicity.SPREAD:
-                    found[w[a], w[b], w[c]] += toxicity.DECAY ** (c - a + 1)
-            return found, sum(toxicity.DECAY ** (2 * (c - a + 1)) for a, b, c in combinations(range(len(w)), 3) if c - a < toxicity.SPREAD) ** 0.5
+def padded(text):
+    signs = np.concatenate([toxicity.codes(text), np.zeros(toxicity.WINDOW + toxicity.SPREAD, np.int32)])
+    return signs[: toxicity.WINDOW + toxicity.SPREAD]
+
 
-        (p, m), (q, n) = spread(x), spread(y)
-        return sum(v * q[k] for k, v in p.items()) / m / n
+def spread_out(signs):
+    """Every gapped subsequence that begins in the window, with its weight, one by one."""
+    found = Counter()
+    for a in range(toxicity.WINDOW):
+        for rest in combinations(range(a + 1, a + toxicity.SPREAD), toxicity.LENGTH - 1):
+            found[tuple(int(signs[k]) for k in (a, *rest))] += toxicity.DECAY ** (rest[-1] - a + 1 - toxicity.LENGTH)
+    return found
 
-    words = ["idiot", "id-iot", "station", "a", "aaaa", "worthless"]
-    got = toxicity.kernel(words, words)
-    assert got == pytest.approx(np.array([[brute(x, y) for y in words] for x in words]), rel=1e-4)
-    assert got[0, 1] > got[0, 2]
+
+def test_kernel_is_the_gapped_subsequence_kernel():
+    words = ["you idiot no", "you id iot no", "you id*iot no", "the station at", "a", "", "aaaaaaaaaaaaaaaaaa", "ÉTÉ 12 的话!"]
+    windows = np.stack([padded(w) for w in words]).astype(np.uint8)
+    brute = [spread_out(w) for w in windows]
+    got = toxicity.kernel(windows, windows)
+    assert got == pytest.approx(np.array([[sum(v * y[k] for k, v in x.items()) for y in brute] for x in brute]), rel=1e-4)
+    assert got[0, 1] > 3 * got[0, 3] and got[0, 2] > 3 * got[0, 3]
+    assert toxicity.codes("Éé\t 9a!").tolist() == [5, 5, 0, 0, 27, 1, 28]
+
+
+def test_trained_weights_are_the_machines_function():
+    """The weight of a window's subsequences is the sum of its kernels with the landmarks."""
+    rng = np.random.default_rng(4)
+    say = lambda: "".join(rng.choice(list("abcdefgh "), 14))
+    toxic = np.stack([padded(f"{say()[:3]}idiot{say()}") for _ in range(60)]).astype(np.uint8)
+    clean = np.stack([padded(say() + say()) for _ in range(90)]).astype(np.uint8)
+    weight, bias = toxicity.fit(toxic, clean, 40)
+    by_hand = [sum(v * weight[((k[0] * 32 + k[1]) * 32 + k[2]) * 32 + k[3]] for k, v in spread_out(w).items()) + bias for w in (*toxic[:5], *clean[:5])]
+    assert min(by_hand[:5]) > 0 > max(by_hand[5:])
+    text = "".join("abcdefgh "[k] for k in rng.integers(0, 9, 400)) + " idiot"
+    scores = toxicity.window_scores(np.concatenate([toxicity.codes(text), np.zeros(16, np.int32)]), weight)
+    signs = np.concatenate([toxicity.codes(text), np.zeros(32, np.int32)])
+    for at in (0, 7, 250, len(text) - 1):
+        want = sum(v * weight[((k[0] * 32 + k[1]) * 32 + k[2]) * 32 + k[3]] for k, v in spread_out(signs[at : at + 16]).items())
+        assert scores[at] == pytest.approx(want, abs=1e-4)
+
+
+def test_top_windows_are_those_of_each_text(monkeypatch):
+    rng = np.random.default_rng(9)
+    weight = rng.normal(size=toxicity.CODES).astype(np.float32)
+    batch = ["".join(rng.choice(list("abcdé 1!"), n)) for n in (0, 1, 5, 40, 333, 0, 2000, 12)]
+
+    def brute(text):
+        signs = np.concatenate([toxicity.codes(text), np.zeros(40, np.int32)])
+        scores = toxicity.window_scores(signs, weight)[: len(text)]
+        out = []
+        for at in np.argsort(-scores, kind="stable"):
+            if len(out) < 2 and all(abs(at - k) >= toxicity.WINDOW for k, _ in out):
+                out.append((at, float(scores[at])))
+        return [s for _, s in out]
+
+    want = [brute(t) for t in batch]
+    got = lambda: [[s for s, _ in own] for own in toxicity.top_windows(batch, weight, 2)]
+    assert got() == want
+    monkeypatch.setattr(toxicity, "PIECE", 100)
+    assert [own[:1] for own in got()] == [own[:1] for own in want]
+
+
+INSULTS = ("trash", "pathetic", "idiot", "worthless", "disgusting", "stupid", "clown", "loser", "scum", "moron")
 
 
 def test_toxicity_held_out(spark):
+    """Also where a space or a sign is put into every insult of the held-out texts."""
     sf = "/root/testdata/sf0.1"
-    scored = driver.queries()["op9_toxicity"](spark, sf)
-    known = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
-    rows = scored.join(known, "doc_id").where("held_out").collect()
-    assert all(zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 for r in rows)
-    hit = sum(r["predicted"] and r["toxic"] for r in rows)
-    assert hit / sum(r["predicted"] for r in rows) > 0.9 and hit / sum(r["toxic"] for r in rows) > 0.85
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    known = labels.select("doc_id", "toxic")
+
+    def rates(text):
+        scored = toxicity.toxicity(docs.withColumn("text", F.when(toxicity.held_out(), text).otherwise(F.col("text"))), labels)
+        rows = scored.join(known, "doc_id").where("held_out").collect()
+        assert all(zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0 for r in rows)
+        hit = sum(r["predicted"] and r["toxic"] for r in rows)
+        return hit / sum(r["toxic"] for r in rows), hit / sum(r["predicted"] for r in rows)
+
+    def broken(sign):
+        text = F.col("text")
+        for word in INSULTS:
+            text = F.regexp_replace(text, f"(?i){word}", f"{word[: len(word) // 2]}{sign}{word[len(word) // 2 :]}")
+        return text
+
+    for text in (F.col("text"), broken(" "), broken("*")):
+        recall, precision = rates(text)
+        assert recall >= 0.85 and precision >= 0.9
 
 
 def test_toxicity_awkward(spark, awkward, nothing):
@@ -591,11 +653,6 @@ def test_toxicity_awkward(spark, awkward, nothing):
     assert toxicity.without_toxic(awkward, labels).columns == awkward.columns
 
 
-def test_spelt_out_and_dressed_words():
-    assert {"idiot", "you", "an"} <= toxicity.tokens("You, an i d i o t!")
-    assert toxicity.tokens("*Stupid*... ") == {"stupid"} and toxicity.tokens(" .. ") == set()
-
-
 # 10: token store
 
 

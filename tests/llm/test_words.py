@@ -67,6 +67,18 @@ def test_ids_are_the_librarys(name, documents):
         check(row.text or "")
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_of_a_batch_are_those_of_its_texts(name, documents):
+    path = public_tokenizers.path(name)
+    table, library = units(path), Tokenizer.from_file(path)
+    rng = random.Random(3)
+    batch = ["", " ", "a", " a  b\n", *("".join(rng.choice(ODD) for _ in range(rng.randint(0, 25))) for _ in range(400)), *((r.text or "") for r in documents[:80])]
+    got = table.ids_of(pa.array(["skipped", *batch]).slice(1))
+    for text, ids in zip(batch, got):
+        assert np.frombuffer(ids, "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+    assert table.ids_of(pa.array([], pa.string())) == []
+
+
 def test_bounded_table_gives_the_same(monkeypatch):
     import scrubline.llm.tokenizing as tokenizing
 
