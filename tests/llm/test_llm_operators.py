@@ -61,17 +61,58 @@ def test_patience_alignment():
 
 
 def test_license_scan_finds_changed_and_repeated_notices(spark):
-    mit = licenses.NOTICES["MIT-text"]
+    mit, gpl = licenses.NOTICES["MIT-text"], licenses.NOTICES["GPL-3.0-header"]
     changed = mit.replace("free of charge", "at no charge").upper()
+    rng = np.random.default_rng(1)
+    stray = " ".join(f"{w} q{rng.integers(10**6)}" for w in mit.split())
     rows = [(1, f"start {mit} end"), (2, f"{changed}\n\n{changed}"), (3, "Licensed under CC BY-NC 4.0. " * 3), (4, "nothing"), (5, None)]
     rows += [(6, mit[: len(mit) // 2]), (None, licenses.NOTICES["GPL-3.0"])]
+    rows += [(7, mit.replace("deal in the Software", "deal in the Software (free of charge)")), (8, f"{stray} {mit}")]
+    rows += [(9, gpl.replace("version 3", "version 2")), (10, gpl), (11, gpl.replace("General", "Affero General")), (12, gpl.replace("Public", "xx"))]
+    rows += [(13, licenses.NOTICES["BSD-2-Clause-text"]), (14, licenses.NOTICES["BSD-3-Clause-text"]), (15, f"{mit} {gpl} {mit}")]
+    rows += [(16, "the software is provided and the permission of this copy to any of the " * 40)]
     got = by_id(licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")))
     assert (got[1].licenses, got[1].coverage, got[1].n_found) == ("MIT-text", 1.0, 1)
     assert got[1].found[0]["first"] == 1 and got[1].found[0]["last"] == got[1].n_words - 2
     assert got[2].n_found == 2 and 0.9 < got[2].coverage < 1
     assert (got[3].licenses, got[3].n_found) == ("CC-BY-NC-4.0", 3)
-    assert [got[k].n_found for k in (4, 5, 6)] == [0, 0, 0]
+    assert [got[k].n_found for k in (4, 5, 6, 16)] == [0] * 4
     assert got[None].licenses == "GPL-3.0"
+    assert (got[7].licenses, got[7].coverage) == ("MIT-text", 1.0)
+    assert (got[8].licenses, got[8].n_found) == ("MIT-text", 2)
+    names = {9: "GPL-2.0-header", 10: "GPL-3.0-header", 11: "AGPL-3.0-header", 12: "GPL-3.0-header", 13: "BSD-2-Clause-text", 14: "BSD-3-Clause-text"}
+    assert {k: got[k].licenses for k in names} == names
+    assert [f["license"] for f in got[15].found] == ["MIT-text", "GPL-3.0-header", "MIT-text"]
+    assert licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string"), {"none": "...", "one": "nothing"}).where("n_found > 0").count() == 1
+
+
+def test_license_coverage_is_that_of_full_alignment(spark, documents):
+    """Every window of a text of every width that an occurrence may have, aligned in full."""
+    notices = {n: t for n, t in licenses.NOTICES.items() if len(t) < 120}
+    plain = {n: words_of(t, SIGN) for n, t in notices.items()}
+    rng = np.random.default_rng(2)
+    rows = [(r.doc_id, r.text) for r in documents if len(r.text or "") < 4000]
+    for k, (name, text) in enumerate(notices.items()):
+        w = text.split()
+        w.insert(len(w) // 2, w[1])
+        rows.append((10**6 + k, f"some words {' '.join(w)} and the license of this work {' '.join(w[::-1])}"))
+    got = by_id(licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string"), notices))
+    assert sum(g.n_found > 0 for g in got.values()) >= 6
+    for doc_id, text in rows:
+        words = words_of(text, SIGN)
+        best = {}
+        for name, notice in plain.items():
+            for stretch in licenses.STRETCH:
+                size = max(math.ceil(stretch * len(notice)), len(notice) + 1)
+                for at in range(len(words)):
+                    part = words[at : at + size]
+                    if sum(w in notice for w in part) >= 0.8 * len(notice):
+                        best[name] = max(best.get(name, 0), len(licenses.align(part, notice)) / len(notice))
+        want = max((c for c in best.values() if c >= 0.8), default=0.0)
+        assert (got[doc_id].coverage > 0) == (want > 0) and got[doc_id].coverage >= want - 0.2
+
+
+SIGN = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def test_license_scan_matches_plain_search(spark, documents):
