@@ -155,12 +155,16 @@ def around(queries: DataFrame, prints: DataFrame, radius: int = WIDE) -> DataFra
 def _tops(docs: DataFrame, key: Column) -> list[int]:
     """Greatest keys of ranges of about ``ROWS_PER_RANGE`` rows, from the highest range down.
 
-    Only keys move, and only one number per range comes to the driver.
+    Only keys move, in as many tasks as any shuffle has, and only one number per range, at most
+    ``MOST_RANGES`` and one per task, comes to the driver.
     """
     keys = docs.select(key.alias("k"))
-    ranges = min(MOST_RANGES, max(1, keys.count() // ROWS_PER_RANGE))
-    tops = keys.repartitionByRange(ranges, F.col("k").desc()).groupBy(F.spark_partition_id()).agg(F.max("k").alias("k"))
-    return sorted({r["k"] for r in tops.select("k").collect()}, reverse=True)
+    step = max(ROWS_PER_RANGE, -(-keys.count() // MOST_RANGES))
+    ordered = keys.repartitionByRange(F.col("k").desc()).sortWithinPartitions(F.col("k").desc())
+    # The number of a row inside its partition.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    tops = ordered.select("k", place.alias("_at")).where(F.col("_at") % step == 0).select("k").distinct()
+    return sorted((r["k"] for r in tops.collect()), reverse=True)
 
 
 def _range_of(key: Column, tops: Column, count: int) -> Column:

@@ -171,6 +171,27 @@ def test_simhash_awkward(spark, awkward, nothing, monkeypatch):
     assert simhash.likenesses(nothing).count() == 0
 
 
+def test_fingerprints_are_the_votes_of_their_terms(spark, documents):
+    """Vote by vote, by another implementation of the hash."""
+    import struct
+
+    import xxhash
+
+    rows = [(k, r.text) for k, r in enumerate(documents[:40])] + [(100, "a"), (101, "bb  bb cc\tdddddddddddddddd"), (102, "")]
+    got = {r.doc_id: (r.low, r.high) for r in simhash.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"], "text").collect()}
+    for doc_id, text in rows:
+        terms = [t for t in re.split(simhash.SPACES, text.lower()) if t]
+        if not terms:
+            assert doc_id not in got
+            continue
+        weight = [max(1, min(simhash.WEIGHT, len(t) - 2)) for t in terms]
+        for half in (0, 1):
+            seed = xxhash.xxh64_intdigest(struct.pack("<i", half), seed=42)
+            hashed = [xxhash.xxh64_intdigest(t.encode(), seed=seed) for t in terms]
+            bits = sum(1 << b for b in range(64) if 2 * sum(w for w, h in zip(weight, hashed) if h >> b & 1) > sum(weight))
+            assert got[doc_id][half] % 2**64 == bits
+
+
 def test_radius_search_is_whole(spark):
     rng = np.random.default_rng(2)
     base = rng.integers(-(2**63), 2**63 - 1, (20, 2))
@@ -582,6 +603,38 @@ def test_segments_place_every_row_in_order():
         assert all(a[0] + a[1] == b[0] for a, b in zip(cut, cut[1:]))
 
 
+def test_rows_go_where_the_ring_puts_them(spark, documents):
+    """Row by row: the next virtual node clockwise, and on from full shards."""
+    from bisect import bisect_left
+
+    import xxhash
+
+    shards, rows = 7, [(r.doc_id, r.text or "") for r in documents] + [(10**6 + k, "hot") for k in range(150)]
+    got = {r["doc_id"]: r["shard"] for r in sharding.shards_of(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), shards).collect()}
+    places, owners = sharding.ring(shards)
+    places, owners = [*places, 2**63 - 1], [*owners, owners[0]]
+    room = [len(rows) // shards + (s < len(rows) % shards) for s in range(shards)]
+    at_node = [[] for _ in places]
+    signed = lambda t: (h := xxhash.xxh64_intdigest(t.encode(), seed=42)) - (h >> 63 << 64)
+    for place, doc_id in sorted((signed(t), i) for i, t in rows):
+        at_node[bisect_left(places, place)].append(doc_id)
+    want, over = {}, []
+    for node, mine in enumerate(at_node):
+        stay = min(len(mine), room[owners[node]])
+        room[owners[node]] -= stay
+        want |= dict.fromkeys(mine[:stay], owners[node])
+        over.append(mine[stay:])
+    walking = []
+    for step in range(2 * len(places)):
+        node = step % len(places)
+        while walking and room[owners[node]]:
+            room[owners[node]] -= 1
+            want[walking.pop(0)] = owners[node]
+        if step < len(places):
+            walking += over[node]
+    assert got == want and any(over)
+
+
 def test_one_more_shard_moves_little(spark, documents):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     before = {r["doc_id"]: r["shard"] for r in sharding.shards_of(docs, 8).collect()}
