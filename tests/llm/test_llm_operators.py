@@ -493,7 +493,10 @@ def test_chats_awkward(spark, monkeypatch):
         assert {r[0]: tuple(r)[1:] for r in chat.read_back(formatted).collect()} == brute_chats(rows)
     ids = {r["conv_id"]: r for r in formatted.collect()}
     library = chat.chat_tokenizer(BYTES)
-    assert ids[1]["ids"] == library.encode(ids[1]["text"], add_special_tokens=False).ids
+    encoded = library.encode(ids[1]["text"], add_special_tokens=False)
+    assert np.frombuffer(ids[1]["ids"], "<i4").tolist() == encoded.ids
+    assert chat.offsets_of(ids[1]["gaps"], ids[1]["lengths"]).tolist() == [list(o) for o in encoded.offsets]
+    assert chat.runs(np.array([1, 1, 0, 1, 0, 0, 1], bool)).tolist() == [0, 2, 3, 4, 6, 7] and not len(chat.runs(np.zeros(0, bool)))
     empty = frame.limit(0)
     assert chat.read_back(chat.format_chats(empty, BYTES, scratch(spark))).count() == 0
 
