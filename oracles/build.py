@@ -393,7 +393,7 @@ O["excluded_records"] = sql(LEDGER, "select * from excluded", EXCLUDED)
 O["row_accounting"] = sql(
     LEDGER,
     """select t as "table", given as input_rows, kept as kept_rows, excluded as excluded_rows, merged as merged_rows, given - kept - excluded as lost_rows,
-    0 as doubled_rows, 0 as stray_rows, given = kept + excluded as balanced
+    cast(0 as bigint) as doubled_rows, cast(0 as bigint) as stray_rows, given = kept + excluded as balanced
   from (select t, given, kept, (select count(*) from excluded e where e."table" = t) as excluded,
       (select count(kept_source_row_num) from excluded e where e."table" = t) as merged
     from (select 'menu' as t, (select count(*) from menu_raw) as given, (select count(*) from stg_menu) as kept

@@ -5,29 +5,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from scrubline.sources.workspace import shared_folder
-
-
-
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage in the session's checkpoint folder."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+from scrubline.sources.workspace import Workspace
 
 
 def ranked(df: DataFrame, group: str, order: list[Column]) -> DataFrame:
     """Add ``rank_in_group`` (1-based) and ``group_rows`` without a task per group.
 
-    Rows are range-partitioned and sorted by group and order, and checkpointed so that both
-    passes below see the same partitions even after an executor is lost.  Each partition
+    Rows are range-partitioned and sorted by group and order, and written with their partition
+    and place, so that both passes below see the same even after an executor is lost.  Each partition
     then counts its rows per group; a row's rank is its place in the partition plus the
     counts of the same group in earlier partitions.  ``order`` must end in a unique column.
     """
     columns = df.columns
-    placed = checkpointed(
-        df.repartitionByRange(F.col(group), *order).sortWithinPartitions(F.col(group), *order)
-    ).select(
-        *columns, F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_seq")
+    sorted_rows = df.repartitionByRange(F.col(group), *order).sortWithinPartitions(F.col(group), *order)
+    placed = Workspace(df.sparkSession).table(
+        "ranked",
+        lambda: sorted_rows.select(
+            *columns, F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_seq")
+        ),
     )
     in_group = Window.partitionBy(group)
     # Sorted by group, so there are at most (partitions + groups) of these rows.
