@@ -9,6 +9,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from scrubline.functions import NAME
 from scrubline.operators.quantiles import exact_quantiles
 from scrubline.plans import cleaning
 from scrubline.plans.catalog import QUERIES, Menus
@@ -48,3 +49,15 @@ def test_one_table_is_cleaned_for_a_repair_of_it(spark):
 def test_values_are_counted_once_for_quantiles(spark, static_plans):
     found = exact_quantiles(spark.range(100).select(F.col("id").cast("double").alias("x")), {"x": F.col("x")}, [0.5])
     assert explained(found).count("partial_count(1)") == 1
+
+
+def test_names_meet_no_class_of_all_marks(spark):
+    plan = explained(NAME.run(spark.sql("select 'é' as raw"), F.col("raw"), "c"), "extended")
+    assert "\\x{300}-" not in plan
+
+
+def test_odd_signs_in_names(spark):
+    texts = ["\0A\x7fB", "A\t\tB  C", "́", "á̕\U0001d165b", "\x1cx 　y", "  ", "Ⅻ ½", "日本", None]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, raw string")
+    rows = NAME.run(df, F.col("raw"), "c").orderBy("k").collect()
+    assert [r.c_value for r in rows] == ["AB", "A B C", "UNKNOWN", "AB", "X Y", "UNKNOWN", "UNKNOWN", "UNKNOWN", "UNKNOWN"]
