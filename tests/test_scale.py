@@ -10,10 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from scrubline.functions import NAME
+from scrubline.operators.profile import profile
 from scrubline.operators.quantiles import exact_quantiles
 from scrubline.plans import cleaning
 from scrubline.plans.catalog import QUERIES, Menus
 from scrubline.sources import fixtures
+from scrubline.sources.workspace import partitions
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -51,6 +53,24 @@ def test_values_are_counted_once_for_quantiles(spark, static_plans):
     assert explained(found).count("partial_count(1)") == 1
 
 
+def test_profile_sorts_no_values(spark, static_plans):
+    raw = fixtures.raw_table(spark, SF_DIR, "dish")
+    assert "Sort [column" not in explained(profile(raw, "dish", ("id",)))
+
+
+def test_profile_of_no_rows_is_empty(spark):
+    assert profile(spark.sql("select '' as id, '' as name").where("id = '1'"), "dish", ("id",)).collect() == []
+
+
+def test_item_tasks_follow_the_stored_size(spark, tmp_path):
+    folder = str(tmp_path)
+    spark.range(2000).write.parquet(f"{folder}/x.parquet")
+    few, many = (partitions(spark, f"{folder}/x.parquet", each) for each in (1 << 30, 100))
+    assert few == spark.sparkContext.defaultParallelism < many
+    plan = explained(fixtures.raw_table(spark, SF_DIR, "menu_item"), "extended")
+    assert "REPARTITION_BY_NUM" in plan
+
+
 def test_names_meet_no_class_of_all_marks(spark):
     plan = explained(NAME.run(spark.sql("select 'é' as raw"), F.col("raw"), "c"), "extended")
     assert "\\x{300}-" not in plan
