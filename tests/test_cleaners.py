@@ -153,3 +153,31 @@ def test_phonetic_and_fingerprint_keys(spark):
     assert tea[0] == tea[1] and tea[2] == tea[3] and tea[4] == tea[5]
     folded = apply(lambda c: keys.fingerprint(keys.folded_lower(c)), ["Beef, Roast", "Roast beef.", " roast BEEF roast", "Rôast beef"])
     assert set(folded) == {"beef roast"}
+
+
+def odd_cells(spark, cleaner, cells):
+    """The cells that aren't done after their first reading."""
+    df = spark.createDataFrame([(c,) for c in cells], "raw string")
+    for layer in cleaner.layers[:2]:
+        df = df.withColumns(layer(F.col))
+    return [r.odd for r in df.where("odd is not null").collect()]
+
+
+def test_plainly_written_numbers_meet_no_scans(spark):
+    whole = ["12", "-5", "0", "-9223372036854775808", "", None]
+    assert odd_cells(spark, INT, whole) == []
+    prices = ["12", "12.", "12.5", "-0.50", "0", "999999999999.99", "", None]
+    assert odd_cells(spark, DECIMAL, prices) == []
+
+
+def test_all_other_numbers_do(spark):
+    cells = [" 12", "12 ", "007", "-0", "+5", "1e3", "1,234", "nan", "12 ", "9223372036854775808"]
+    assert odd_cells(spark, INT, [*cells, "12.0"]) == [*cells, "12.0"]
+    prices = [*cells, "12.345", "-0.0", ".5", "1000000000000.00", "12d"]
+    assert odd_cells(spark, DECIMAL, prices) == prices
+
+
+def test_plain_prices_are_written_as_doubles_are(spark):
+    cells = ["0.1", "1.15", "2.5", "-3", "4.", "1234567.89", "999999999999.99", "100000000000.01"]
+    expected = [(f"{float(c):.2f}", [] if f"{float(c):.2f}" == c else ["to_decimal_2dp"]) for c in cells]
+    assert clean(spark, DECIMAL, cells) == expected
