@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scrubline.functions import NAME
+from scrubline.functions.unicode import has_text, strip_spaces
 from scrubline.operators.profile import profile
 from scrubline.operators.quantiles import exact_quantiles
 from scrubline.plans import cleaning
@@ -81,3 +82,12 @@ def test_odd_signs_in_names(spark):
     df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, raw string")
     rows = NAME.run(df, F.col("raw"), "c").orderBy("k").collect()
     assert [r.c_value for r in rows] == ["AB", "A B C", "UNKNOWN", "AB", "X Y", "UNKNOWN", "UNKNOWN", "UNKNOWN", "UNKNOWN"]
+
+
+def test_blank_cells_are_told_by_one_sign(spark):
+    cells = [None, "", " ", "\t\n", "\u3000\xa0", "\x1c ", " a", "a", "\u200b", "\U0001f600", " \x00", "\n", "a\n"]
+    df = spark.createDataFrame([(c,) for c in cells], "raw string")
+    raw = F.col("raw")
+    assert df.where(~has_text(raw).eqNullSafe(strip_spaces(raw) != "")).collect() == []
+    for frame in (cleaning.scope_menu(fixtures.raw_table(spark, SF_DIR, "menu")), cleaning.scope_dish(fixtures.raw_table(spark, SF_DIR, "dish"))):
+        assert "regexp_replace" not in explained(frame)
