@@ -5,7 +5,9 @@ from __future__ import annotations
 import contextlib
 import io
 import re
+from threading import Barrier
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,9 +16,9 @@ from scrubline.functions.unicode import has_text, strip_spaces
 from scrubline.operators.profile import profile
 from scrubline.operators.quantiles import exact_quantiles
 from scrubline.plans import cleaning
-from scrubline.plans.catalog import QUERIES, Menus
+from scrubline.plans.catalog import QUERIES, TABLES, Menus
 from scrubline.sources import fixtures
-from scrubline.sources.workspace import partitions
+from scrubline.sources.workspace import Workspace, partitions
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -91,3 +93,30 @@ def test_blank_cells_are_told_by_one_sign(spark):
     assert df.where(~has_text(raw).eqNullSafe(strip_spaces(raw) != "")).collect() == []
     for frame in (cleaning.scope_menu(fixtures.raw_table(spark, SF_DIR, "menu")), cleaning.scope_dish(fixtures.raw_table(spark, SF_DIR, "dish"))):
         assert "regexp_replace" not in explained(frame)
+
+
+def test_tables_are_cleaned_side_by_side(spark, monkeypatch):
+    met = Barrier(len(TABLES))
+    monkeypatch.setattr(Menus, "trace", lambda self, table, scoped=False: (met.wait(30), table)[1])
+    assert Menus(spark, SF_DIR).traces() == list(TABLES)
+
+
+def test_changes_are_found_once_for_their_sort(spark):
+    files = QUERIES["change_log"](spark, SF_DIR).inputFiles()
+    assert files and all("/changes/" in f for f in files)
+
+
+def test_pages_are_told_apart_by_numbers(spark, static_plans, tmp_path):
+    lines = [(1, 1), (1, 3), (1, 2), (2, -1), (2, None), (None, 1), (None, 2)]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    pages = fixtures.raw_table(spark, str(tmp_path), "menu_page")
+    assert re.search(r"HashAggregate\(keys=\[\w+#\d+L, \w+#\d+L\]", explained(pages))
+    found = {tuple(row) for row in pages.collect()}
+    assert found == {("9", "1"), ("8", "1"), ("15", "2"), (None, "2"), (None, None)} and pages.count() == 5
+
+
+def test_no_dictionary_is_tried_for_distinct_columns(spark):
+    rows = spark.range(10).selectExpr("id", "id % 2 as kind")
+    (file, *_) = Workspace(spark).table("t", lambda: rows.coalesce(1), ("id",)).inputFiles()
+    group = pq.ParquetFile(file.removeprefix("file://")).metadata.row_group(0)
+    assert [group.column(k).has_dictionary_page for k in (0, 1)] == [False, True]
